@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     parts = shuffle_partitions or (8 if cores == "*" else max(int(cores), 1))
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.default.parallelism", str(parts))
          .config("spark.sql.adaptive.enabled", "true")
