@@ -26,6 +26,9 @@ FEATURES = "features"
 INDEX_SUFFIX = "_idx"
 
 
+SKETCH_RSD = 0.05
+
+
 class CardinalityError(ValueError):
     """A categorical column has more labels than the learner or driver allows."""
 
@@ -101,20 +104,27 @@ def check_cardinality(df: DataFrame, cols: Sequence[str], limit: int) -> dict[st
     shuffle). Raises before any label list is collected to the driver."""
     if not cols:
         return {}
-    row = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in cols]).first()
+    row = df.agg(*[F.approx_count_distinct(c, SKETCH_RSD).alias(c) for c in cols]).first()
     est = {c: int(row[c]) for c in cols}
-    # 3 standard errors of the sketch above the limit before we call it a breach
-    too_many = {c: n for c, n in est.items() if n > limit * 1.03 + 1}
+    # 3 standard errors of the sketch above the limit before we call it a breach;
+    # the exact count is checked again on the fitted label lists.
+    too_many = {c: n for c, n in est.items() if n > limit * (1 + 3 * SKETCH_RSD) + 1}
     if too_many:
         raise CardinalityError(f"categorical columns exceed {limit} labels: {too_many}")
     return est
 
 
-def fit_encoders(train: DataFrame, spec: FeatureSpec, label_limit: int | None = None
-                 ) -> PipelineModel:
-    """Fit the encoder pipeline on training rows only."""
-    limit = min(label_limit or spec.max_labels, spec.max_labels)
-    check_cardinality(train, spec.categorical, limit)
+def label_limit_of(spec: FeatureSpec, label_limit: int | None = None) -> int:
+    return min(label_limit or spec.max_labels, spec.max_labels)
+
+
+def fit_encoders(train: DataFrame, spec: FeatureSpec, label_limit: int | None = None,
+                 precheck: bool = True) -> PipelineModel:
+    """Fit the encoder pipeline on training rows only. ``precheck=False`` when the
+    caller already checked a superset of these rows (folds of a checked table)."""
+    limit = label_limit_of(spec, label_limit)
+    if precheck:
+        check_cardinality(train, spec.categorical, limit)
     model = Pipeline(stages=encoder_stages(spec)).fit(train)
     if spec.categorical:
         for col, labels in zip(spec.categorical, model.stages[0].labelsArray):

@@ -30,6 +30,11 @@ def make_learner(kind: str, label: str, seed: int = DEFAULT_SEED, features: str
         raise KeyError(f"unknown learner {kind!r}; choose from {sorted(LEARNERS)}")
     est = LEARNERS[kind](labelCol=label, featuresCol=features, predictionCol=prediction,
                          seed=seed)
+    if kind in TREE_KINDS:
+        # Node ids kept in a cached (and periodically checkpointed) RDD instead of
+        # shipping the growing trees to every task each level: same trees, much
+        # less work for deep ones, and a lineage cut when a checkpoint dir is set.
+        est = est.setCacheNodeIds(True).setCheckpointInterval(10)
     if params:
         est = est.setParams(**params)
     return est

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .evaluate import multi_metrics
-from .features import FEATURES, FeatureSpec, check_bins, fit_encoders
+from .features import (FEATURES, FeatureSpec, check_bins, check_cardinality,
+                       fit_encoders, label_limit_of)
 from .learners import max_bins_of
 from .splits import FOLD_COL, HOLDOUT_COL, with_folds, with_holdout_flag
 
@@ -98,25 +99,32 @@ def _tree_bins(est, param_maps) -> int | None:
     return min(bins) if bins else None
 
 
+def _pool_map(fn, items: Sequence, parallelism: int) -> list:
+    """Run independent Spark jobs from a bounded driver thread pool (what
+    CrossValidator's ``parallelism`` does); order of results follows ``items``."""
+    items = list(items)
+    if len(items) <= 1 or parallelism <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def _fit_maps(est, data: DataFrame, param_maps, parallelism: int) -> list:
-    if len(param_maps) == 1 or parallelism <= 1:
-        return [est.fit(data, pm) for pm in param_maps]
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(param_maps))) as pool:
-        return list(pool.map(lambda pm: est.fit(data, pm), param_maps))
+    return _pool_map(lambda pm: est.fit(data, pm), param_maps, parallelism)
 
 
-def _encode_and_fit(fit_df: DataFrame, spec: FeatureSpec, est, param_maps, parallelism: int):
-    bins = _tree_bins(est, param_maps)
-    enc = fit_encoders(fit_df, spec, label_limit=bins)
-    encoded = enc.transform(fit_df).select(FEATURES, spec.label)
-    if bins is not None:
-        check_bins(encoded, spec, bins)
-    encoded = encoded.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        models = _fit_maps(est, encoded, param_maps, parallelism)
-    finally:
-        encoded.unpersist()
-    return enc, models
+class _Encoded:
+    """Encoders fitted on some rows plus those rows encoded and persisted."""
+
+    def __init__(self, fit_df: DataFrame, spec: FeatureSpec, bins: int | None, precheck: bool):
+        self.model = fit_encoders(fit_df, spec, label_limit=bins, precheck=precheck)
+        encoded = self.model.transform(fit_df).select(FEATURES, spec.label)
+        if bins is not None:
+            check_bins(encoded, spec, bins)
+        self.rows = encoded.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def release(self):
+        self.rows.unpersist()
 
 
 def _score_maps(enc: PipelineModel, models: list, eval_df: DataFrame, label: str) -> list[dict]:
@@ -132,6 +140,15 @@ def _score_maps(enc: PipelineModel, models: list, eval_df: DataFrame, label: str
     return out
 
 
+def _fit_and_score(fit_df, eval_df, spec, est, param_maps, bins, parallelism) -> list[dict]:
+    enc = _Encoded(fit_df, spec, bins, precheck=False)
+    try:
+        models = _fit_maps(est, enc.rows, param_maps, parallelism)
+    finally:
+        enc.release()
+    return _score_maps(enc.model, models, eval_df, spec.label)
+
+
 def _best(values: Sequence[float], metric: str) -> int:
     sign = 1.0 if HIGHER_IS_BETTER[metric] else -1.0
     best, best_v = 0, -math.inf
@@ -141,66 +158,93 @@ def _best(values: Sequence[float], metric: str) -> int:
     return best
 
 
-def _refit(train: DataFrame, spec: FeatureSpec, est, param_map: dict) -> PipelineModel:
-    enc, models = _encode_and_fit(train, spec, est, [param_map], 1)
-    return PipelineModel(stages=list(enc.stages) + [models[0]])
-
-
 def plain_fit(train: DataFrame, spec: FeatureSpec, est, param_map: dict | None = None
               ) -> PipelineModel:
     """Fit encoders and learner once, no search (T4)."""
-    return _refit(train, spec, est, param_map or {})
+    param_map = param_map or {}
+    enc = _Encoded(train, spec, _tree_bins(est, [param_map]), precheck=True)
+    try:
+        model = est.fit(enc.rows, param_map)
+    finally:
+        enc.release()
+    return PipelineModel(stages=list(enc.model.stages) + [model])
+
+
+def _search(spark, train, spec, est, param_maps, tasks, metric, parallelism, table_cols,
+            summarize) -> SearchResult:
+    """Common driver of both searches. ``tasks`` are (fit rows, eval rows) pairs.
+
+    The encoders for the final refit are fitted on all of ``train`` while the
+    folds run, since they do not depend on which map wins."""
+    param_maps = list(param_maps)
+    bins = _tree_bins(est, param_maps)
+    check_cardinality(train, spec.categorical, label_limit_of(spec, bins))
+    inner = max(1, math.ceil(parallelism / max(1, len(tasks))))
+    jobs = [("full", None)] + [("task", t) for t in tasks]
+
+    def run(job):
+        kind, t = job
+        if kind == "full":
+            return _Encoded(train, spec, bins, precheck=False)
+        return _fit_and_score(t[0], t[1], spec, est, param_maps, bins, inner)
+
+    results = _pool_map(run, jobs, parallelism)
+    full, per_task = results[0], results[1:]
+    try:
+        per_map = summarize(per_task)
+        best = _best([m["score"] for m in per_map], metric)
+        learner = est.fit(full.rows, param_maps[best])
+    finally:
+        full.release()
+    model = PipelineModel(stages=list(full.model.stages) + [learner])
+    table = _metrics_table(spark, param_maps, [m["row"] for m in per_map], table_cols)
+    return SearchResult(table, param_maps, best, model, per_map)
 
 
 def cross_validate(spark: SparkSession, train: DataFrame, spec: FeatureSpec, est,
                    param_maps: Sequence[dict], key_cols: Sequence[str], num_folds: int = 3,
-                   metric: str = "r2", parallelism: int = 2, fold_col: str = FOLD_COL
+                   metric: str = "r2", parallelism: int = 4, fold_col: str = FOLD_COL
                    ) -> SearchResult:
     """K-fold search (T2). Folds come from a hash of the key, so fold membership is
-    the same in every run and in SQL. Returns mean and population std of the
-    metric per map and the best map refitted on all of ``train``."""
-    param_maps = list(param_maps)
+    the same in every run and in SQL. Every fold refits the encoders on its own
+    training rows. Returns mean and population std of the metric per map and the
+    best map refitted on all of ``train``."""
     data = train if fold_col in train.columns else with_folds(train, key_cols, num_folds, fold_col)
-    per_fold = []
-    for k in range(num_folds):
-        fit_df = data.filter(F.col(fold_col) != k)
-        eval_df = data.filter(F.col(fold_col) == k)
-        enc, models = _encode_and_fit(fit_df, spec, est, param_maps, parallelism)
-        per_fold.append(_score_maps(enc, models, eval_df, spec.label))
-    per_map = []
-    for i in range(len(param_maps)):
-        vals = [per_fold[k][i][metric] for k in range(num_folds)]
-        rm = [per_fold[k][i]["rmse"] for k in range(num_folds)]
-        mean = sum(vals) / num_folds
-        std = math.sqrt(sum((v - mean) ** 2 for v in vals) / num_folds)
-        per_map.append({"avg": mean, "std": std, "avg_rmse": sum(rm) / num_folds, "folds": vals})
-    best = _best([m["avg"] for m in per_map], metric)
-    model = _refit(train.drop(fold_col) if fold_col in train.columns else train, spec, est,
-                   param_maps[best])
-    table = _metrics_table(spark, param_maps, [
-        (m["avg"], m["std"], m["avg_rmse"]) for m in per_map],
-        [f"avg_{metric}", f"std_{metric}", "avg_rmse"])
-    return SearchResult(table, param_maps, best, model, per_map)
+    tasks = [(data.filter(F.col(fold_col) != k), data.filter(F.col(fold_col) == k))
+             for k in range(num_folds)]
+    base = train.drop(fold_col) if fold_col in train.columns else train
+
+    def summarize(per_fold):
+        out = []
+        for i in range(len(param_maps)):
+            vals = [per_fold[k][i][metric] for k in range(num_folds)]
+            rm = [per_fold[k][i]["rmse"] for k in range(num_folds)]
+            mean = sum(vals) / num_folds
+            std = math.sqrt(sum((v - mean) ** 2 for v in vals) / num_folds)
+            out.append({"score": mean, "folds": vals,
+                        "row": (mean, std, sum(rm) / num_folds)})
+        return out
+
+    return _search(spark, base, spec, est, param_maps, tasks, metric, parallelism,
+                   [f"avg_{metric}", f"std_{metric}", "avg_rmse"], summarize)
 
 
 def holdout_search(spark: SparkSession, train: DataFrame, spec: FeatureSpec, est,
                    param_maps: Sequence[dict], key_cols: Sequence[str], train_ratio: float = 0.8,
-                   metric: str = "r2", parallelism: int = 2, flag_col: str = HOLDOUT_COL
+                   metric: str = "r2", parallelism: int = 4, flag_col: str = HOLDOUT_COL
                    ) -> SearchResult:
     """Hold-out search (T3) on a hash validation flag; best map refitted on all rows."""
-    param_maps = list(param_maps)
     data = (train if flag_col in train.columns
             else with_holdout_flag(train, key_cols, train_ratio, flag_col))
-    enc, models = _encode_and_fit(data.filter(~F.col(flag_col)), spec, est, param_maps,
-                                  parallelism)
-    per_map = _score_maps(enc, models, data.filter(F.col(flag_col)), spec.label)
-    best = _best([m[metric] for m in per_map], metric)
-    model = _refit(train.drop(flag_col) if flag_col in train.columns else train, spec, est,
-                   param_maps[best])
-    table = _metrics_table(spark, param_maps, [(m[metric], m["rmse"]) for m in per_map],
-                           [f"valid_{metric}", "valid_rmse"] if metric == "r2"
-                           else [f"valid_{metric}", "valid_r2"])
-    return SearchResult(table, param_maps, best, model, per_map)
+    tasks = [(data.filter(~F.col(flag_col)), data.filter(F.col(flag_col)))]
+    base = train.drop(flag_col) if flag_col in train.columns else train
+    other = "rmse" if metric == "r2" else "r2"
+
+    def summarize(per_task):
+        return [{"score": m[metric], "row": (m[metric], m[other])} for m in per_task[0]]
+
+    return _search(spark, base, spec, est, param_maps, tasks, metric, parallelism,
+                   [f"valid_{metric}", f"valid_{other}"], summarize)
 
 
 def _metrics_table(spark: SparkSession, param_maps, values, value_names) -> DataFrame:
