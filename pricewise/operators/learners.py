@@ -31,15 +31,32 @@ def make_learner(kind: str, label: str, seed: int = DEFAULT_SEED, features: str
     est = LEARNERS[kind](labelCol=label, featuresCol=features, predictionCol=prediction,
                          seed=seed)
     if kind in TREE_KINDS:
-        # Node ids kept in a cached (and periodically checkpointed) RDD instead of
-        # shipping the growing trees to every task each level: same trees, much
-        # less work for deep ones, and a lineage cut when a checkpoint dir is set.
-        est = est.setCacheNodeIds(True).setCheckpointInterval(10)
+        est = est.setCheckpointInterval(10)
     if params:
         est = est.setParams(**params)
     return est
 
 
+DEEP_TREE = 10
+
+
+def execution_params(est, param_map: dict | None = None) -> dict:
+    """``param_map`` plus execution-only settings that do not change the model.
+
+    Deep single trees and forests keep node ids in a cached, periodically
+    checkpointed RDD instead of shipping the growing trees to every task at each
+    level (much less work past depth ~10, and a lineage cut when a checkpoint
+    dir is set). Boosting re-grows shallow trees, where the cache costs more than
+    it saves, so it stays off there."""
+    pm = dict(param_map or {})
+    if not est.hasParam("cacheNodeIds") or isinstance(est, GBTRegressor):
+        return pm
+    depth_p = est.getParam("maxDepth")
+    depth = pm.get(depth_p, est.getOrDefault(depth_p))
+    pm[est.getParam("cacheNodeIds")] = depth >= DEEP_TREE
+    return pm
+
+
 def max_bins_of(est, param_map: dict | None = None) -> int | None:
     """Effective maxBins (grid value wins over the constructor) or None for FM."""
     if not est.hasParam("maxBins"):

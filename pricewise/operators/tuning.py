@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from .evaluate import multi_metrics
 from .features import (FEATURES, FeatureSpec, check_bins, check_cardinality,
                        fit_encoders, label_limit_of)
-from .learners import max_bins_of
+from .learners import execution_params, max_bins_of
 from .splits import FOLD_COL, HOLDOUT_COL, with_folds, with_holdout_flag
 
 HIGHER_IS_BETTER = {"r2": True, "rmse": False}
@@ -110,7 +110,8 @@ def _pool_map(fn, items: Sequence, parallelism: int) -> list:
 
 
 def _fit_maps(est, data: DataFrame, param_maps, parallelism: int) -> list:
-    return _pool_map(lambda pm: est.fit(data, pm), param_maps, parallelism)
+    return _pool_map(lambda pm: est.fit(data, execution_params(est, pm)), param_maps,
+                     parallelism)
 
 
 class _Encoded:
@@ -164,7 +165,7 @@ def plain_fit(train: DataFrame, spec: FeatureSpec, est, param_map: dict | None =
     param_map = param_map or {}
     enc = _Encoded(train, spec, _tree_bins(est, [param_map]), precheck=True)
     try:
-        model = est.fit(enc.rows, param_map)
+        model = est.fit(enc.rows, execution_params(est, param_map))
     finally:
         enc.release()
     return PipelineModel(stages=list(enc.model.stages) + [model])
@@ -193,7 +194,7 @@ def _search(spark, train, spec, est, param_maps, tasks, metric, parallelism, tab
     try:
         per_map = summarize(per_task)
         best = _best([m["score"] for m in per_map], metric)
-        learner = est.fit(full.rows, param_maps[best])
+        learner = est.fit(full.rows, execution_params(est, param_maps[best]))
     finally:
         full.release()
     model = PipelineModel(stages=list(full.model.stages) + [learner])

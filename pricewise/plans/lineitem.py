@@ -52,7 +52,11 @@ CELL_SPEC = FeatureSpec(label=LABEL, categorical=("l_returnflag", "l_linestatus"
 
 
 def raw_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+    return shape(read_table(spark, sf_dir, "lineitem"))
+
+
+def shape(li: DataFrame) -> DataFrame:
+    """lineitem rows in the reference's raw shape (works on batch and stream frames)."""
     return li.select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
         F.col("l_linenumber").cast("string").alias("line_label"),
@@ -69,6 +73,16 @@ def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(raw_frame(spark, sf_dir), PREPARE)
 
 
+def prepared_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """The same prepared rows, read as a file stream of lineitem parquet files."""
+    schema = read_table(spark, sf_dir, "lineitem").schema
+    stream = (spark.readStream.schema(schema)
+              .option("pathGlobFilter", "lineitem*.parquet")
+              .option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(sf_dir))
+    return prepare(shape(stream), PREPARE)
+
+
 def training_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared rows spread over at least the cluster's default parallelism."""
     return spread(prepared_frame(spark, sf_dir), KEY, spark.sparkContext.defaultParallelism)

@@ -283,6 +283,7 @@ def oracle_queries() -> dict[str, str]:
         "rf_predict": predictions_sql(),
         "gbt_predict": predictions_sql(),
         "gbt_plain": predictions_sql(),
+        "stream_score": predictions_sql(),
         "best_params": best_params_sql(_CELL_PARAMS["dt"]),
         "eval_metrics": eval_metrics_sql(),
         "model_compare": model_compare_sql(("dt", "rf", "gbt")),

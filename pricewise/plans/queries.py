@@ -465,3 +465,27 @@ QUERIES.update({
     "ref_fm_cv": _reference("fm", "cv"),
     "ref_fm_holdout": _reference("fm", "holdout"),
 })
+
+
+# ------------------------------------------------------------------ streaming (R6 on a stream)
+
+def q_stream_score(spark, sf_dir):
+    """Decision tree (cell features) fitted on train, then test rows scored from a
+    parquet file stream into a parquet sink; the sink is read back."""
+    from ..operators.splits import BUCKETS, SPLIT_LANE
+    from ..functions.columns import hash_bucket
+    from ..streaming.scoring import run_to_parquet, score_stream
+    train, _ = _split(spark, sf_dir)
+    est = make_learner("dt", li.LABEL, **CELL_PARAMS["dt"])
+    with persisted(train) as t:
+        model = tu.plain_fit(t, li.CELL_SPEC, est)
+    stream = li.prepared_stream(spark, sf_dir)
+    test_rows = stream.filter(hash_bucket(li.KEY, BUCKETS, SPLIT_LANE) >= 70)
+    base = scratch_path(spark, "stream_score")
+    sink = run_to_parquet(score_stream(model, test_rows, li.KEY, li.LABEL), f"{base}/out",
+                          f"{base}/_checkpoint")
+    out = spark.read.parquet(sink)
+    return out.select(*li.KEY, F.round("prediction", PRED_DIGITS).alias("prediction"), "trueLabel")
+
+
+QUERIES["stream_score"] = q_stream_score
