@@ -89,10 +89,13 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key_cols: Sequence[str], min_partitions: int) -> DataFrame:
-    """Hash-partition by key when the scan has fewer partitions than the cluster
-    has cores (small single-file inputs); a large scan is left as it is, so no
-    full shuffle is added at scale. Rows are sorted inside each partition so the
-    order seen by sampling learners does not depend on shuffle fetch order."""
+    """Spread rows over ``min_partitions`` when the scan yields fewer (small
+    single-file inputs); a large scan is left as it is, so no full shuffle is
+    added at scale. Round-robin rather than hashing the key: a key value that
+    repeats (one hot key holding a third of the rows) cannot pile up in one task.
+    Spark sorts before a round-robin exchange, so a retried task gets the same
+    rows; rows are then sorted by key inside each partition so the order seen by
+    sampling learners does not depend on shuffle fetch order."""
     if df.rdd.getNumPartitions() >= min_partitions:
         return df
-    return df.repartition(min_partitions, *key_cols).sortWithinPartitions(*key_cols)
+    return df.repartition(min_partitions).sortWithinPartitions(*key_cols)

@@ -252,6 +252,17 @@ def _brand_index_sql() -> str:
     return f"WITH {ctes}\nSELECT p.p_partkey, {sel} FROM part p {joins}"
 
 
+def _scored_rows_sql() -> str:
+    ctes = ",\n".join(string_index_cte(c) for c in CELL_KEYS)
+    body = f"""SELECT v.l_orderkey, v.l_linenumber, idx_l_returnflag.ix AS f_0,
+       idx_l_linestatus.ix AS f_1, round(c.p, 4) AS prediction, v.price AS trueLabel
+FROM test v JOIN cell c ON {_CK_JOIN}
+LEFT JOIN idx_l_returnflag ON idx_l_returnflag.label = v.l_returnflag
+LEFT JOIN idx_l_linestatus ON idx_l_linestatus.label = v.l_linestatus"""
+    return with_prep_ctes(ctes + f",\ncell AS (SELECT {_CK}, avg(price) AS p FROM train GROUP BY {_CK})",
+                          body)
+
+
 def oracle_queries() -> dict[str, str]:
     prepared_first20 = with_prep(f"SELECT {PREP_COLS} FROM prep "
                                  "ORDER BY l_orderkey, l_linenumber LIMIT 20")
@@ -274,6 +285,8 @@ def oracle_queries() -> dict[str, str]:
         "holdout_assign": with_prep("SELECT l_orderkey, l_linenumber, is_validation FROM train"),
         "preview": prepared_first20,
         "schema_report": _schema_report_sql(),
+        "row_count": with_prep("SELECT count(*) AS n_rows FROM prep"),
+        "scored_rows": _scored_rows_sql(),
         "string_index": _string_index_sql(),
         "brand_index": _brand_index_sql(),
         "vector_index": encoded_frame_sql(parts="cat"),

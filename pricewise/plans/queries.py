@@ -167,6 +167,11 @@ def q_preview(spark, sf_dir):
     return li.prepared_frame(spark, sf_dir).orderBy(*li.KEY).limit(20)
 
 
+def q_row_count(spark, sf_dir):
+    """Row count of the prepared data (A1)."""
+    return sp.row_count(li.prepared_frame(spark, sf_dir)).withColumnRenamed("rows", "n_rows")
+
+
 def q_schema_report(spark, sf_dir):
     """printSchema + count as a table: one aggregate pass for non-null counts."""
     df = li.prepared_frame(spark, sf_dir)
@@ -239,6 +244,18 @@ def _cell_predict(kind: str):
     return run
 
 
+def q_scored_rows(spark, sf_dir):
+    """``features, prediction, trueLabel`` of the scored test rows (P5, P6), the
+    feature vector given slot by slot."""
+    train, test = _split(spark, sf_dir)
+    est = make_learner("dt", li.LABEL, **CELL_PARAMS["dt"])
+    with persisted(train) as t:
+        model = tu.plain_fit(t, li.CELL_SPEC, est)
+    out = prediction_projection(model.transform(test), li.LABEL, keys=li.KEY, features=True)
+    return out.select(*li.KEY, *vector_columns(out, FEATURES, "f", len(li.CELL_SPEC.slot_names)),
+                      F.round("prediction", PRED_DIGITS).alias("prediction"), "trueLabel")
+
+
 def q_fm_predict(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     est = make_learner("fm", li.LABEL, **FM_PARAMS)
@@ -359,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fold_assign": q_fold_assign,
     "holdout_assign": q_holdout_assign,
     "preview": q_preview,
+    "row_count": q_row_count,
     "schema_report": q_schema_report,
     "string_index": q_string_index,
     "brand_index": q_brand_index,
@@ -368,6 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dt_predict": _cell_predict("dt"),
     "rf_predict": _cell_predict("rf"),
     "gbt_predict": _cell_predict("gbt"),
+    "scored_rows": q_scored_rows,
     "fm_predict": q_fm_predict,
     "dt_cv": _cell_search_query("dt", "cv"),
     "dt_holdout": _cell_search_query("dt", "holdout"),
