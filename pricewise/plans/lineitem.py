@@ -51,8 +51,15 @@ BASE_SPEC = FeatureSpec(
 CELL_SPEC = FeatureSpec(label=LABEL, categorical=("l_returnflag", "l_linestatus"))
 
 
-def raw_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape(read_table(spark, sf_dir, "lineitem"))
+def raw_frame(spark: SparkSession, sf_dir: str, spread_to: int | None = None) -> DataFrame:
+    """Reference-shaped rows. With ``spread_to`` an under-partitioned scan (a
+    single-row-group file is one task) is spread before the per-row work, so
+    hashing, date formatting and scoring run on every core; a scan with enough
+    splits is left untouched."""
+    scan = read_table(spark, sf_dir, "lineitem")
+    if spread_to:
+        scan = spread(scan, KEY, spread_to)
+    return shape(scan)
 
 
 def shape(li: DataFrame) -> DataFrame:
@@ -69,8 +76,8 @@ def shape(li: DataFrame) -> DataFrame:
     )
 
 
-def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(raw_frame(spark, sf_dir), PREPARE)
+def prepared_frame(spark: SparkSession, sf_dir: str, spread_to: int | None = None) -> DataFrame:
+    return prepare(raw_frame(spark, sf_dir, spread_to), PREPARE)
 
 
 def prepared_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -85,4 +92,4 @@ def prepared_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
 
 def training_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared rows spread over at least the cluster's default parallelism."""
-    return spread(prepared_frame(spark, sf_dir), KEY, spark.sparkContext.defaultParallelism)
+    return prepared_frame(spark, sf_dir, spark.sparkContext.defaultParallelism)

@@ -55,11 +55,10 @@ def persisted(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(train, test). Only the training rows are spread over the cluster (the
-    learners pass over them many times); test rows are scored where they are read."""
+    """(train, test) over the prepared rows, spread to the cluster's parallelism
+    when the scan is under-partitioned."""
     ensure_checkpoint_dir(spark, allow_local_default=True)
-    train, test = sp.hash_split(li.prepared_frame(spark, sf_dir), li.KEY, 0.7)
-    return sp.spread(train, li.KEY, spark.sparkContext.defaultParallelism), test
+    return sp.hash_split(li.training_input(spark, sf_dir), li.KEY, 0.7)
 
 
 def _score(model, test: DataFrame, label: str = li.LABEL) -> DataFrame:
