@@ -38,6 +38,7 @@ def make_learner(kind: str, label: str, seed: int = DEFAULT_SEED, features: str
 
 
 DEEP_TREE = 10
+DEEP_TREE_MEMORY_MB = 1024
 
 
 def execution_params(est, param_map: dict | None = None) -> dict:
@@ -46,14 +47,21 @@ def execution_params(est, param_map: dict | None = None) -> dict:
     Deep single trees and forests keep node ids in a cached, periodically
     checkpointed RDD instead of shipping the growing trees to every task at each
     level (much less work past depth ~10, and a lineage cut when a checkpoint
-    dir is set). Boosting re-grows shallow trees, where the cache costs more than
-    it saves, so it stays off there."""
+    dir is set). Boosting re-grows trees every iteration, where the cache costs
+    more than it saves, so it stays off there. Deep trees of any kind get a
+    larger per-task histogram budget (fewer node groups, so fewer passes: GBT
+    depth 12 x 5 at sf0.1 22.5 s -> 18.5 s); executors need that much headroom
+    per task."""
     pm = dict(param_map or {})
-    if not est.hasParam("cacheNodeIds") or isinstance(est, GBTRegressor):
+    if not est.hasParam("cacheNodeIds"):
         return pm
     depth_p = est.getParam("maxDepth")
     depth = pm.get(depth_p, est.getOrDefault(depth_p))
-    pm[est.getParam("cacheNodeIds")] = depth >= DEEP_TREE
+    deep = depth >= DEEP_TREE
+    if deep and est.getParam("maxMemoryInMB") not in pm:
+        pm[est.getParam("maxMemoryInMB")] = DEEP_TREE_MEMORY_MB
+    if not isinstance(est, GBTRegressor):
+        pm[est.getParam("cacheNodeIds")] = deep
     return pm
 
 

@@ -86,13 +86,16 @@ def test_grid_dedupe_and_table(spark):
     assert [(r.maxDepth, r.maxBins) for r in t] == [(6.0, 65.0), (6.0, 50.0), (9.0, 65.0), (9.0, 50.0)]
 
 
-def test_execution_params_by_depth():
+def test_execution_params_by_depth(spark):
     dt = make_learner("dt", "y")
     gbt = make_learner("gbt", "y")
     deep = {dt.getParam("maxDepth"): 16}
     assert execution_params(dt, deep)[dt.getParam("cacheNodeIds")] is True
     assert execution_params(dt, {})[dt.getParam("cacheNodeIds")] is False
-    assert gbt.getParam("cacheNodeIds") not in execution_params(gbt, {gbt.getParam("maxDepth"): 12})
+    gbt_deep = execution_params(gbt, {gbt.getParam("maxDepth"): 12})
+    assert gbt.getParam("cacheNodeIds") not in gbt_deep
+    assert gbt_deep[gbt.getParam("maxMemoryInMB")] == 1024
+    assert dt.getParam("maxMemoryInMB") not in execution_params(dt, {})
     fm = make_learner("fm", "y")
     assert execution_params(fm, {}) == {}
 
