@@ -80,8 +80,11 @@ def prepared_frame(spark: SparkSession, sf_dir: str, spread_to: int | None = Non
     return prepare(raw_frame(spark, sf_dir, spread_to), PREPARE)
 
 
-def prepared_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The same prepared rows, read as a file stream of lineitem parquet files."""
+def prepared_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1000
+                    ) -> DataFrame:
+    """The same prepared rows, read as a file stream of lineitem parquet files; a
+    backlog is cut into micro-batches of at most ``max_files_per_trigger`` files,
+    each committed to the sink's checkpoint on its own."""
     schema = read_table(spark, sf_dir, "lineitem").schema
     stream = (spark.readStream.schema(schema)
               .option("pathGlobFilter", "lineitem*.parquet")

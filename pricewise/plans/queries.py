@@ -22,7 +22,7 @@ from ..operators.learners import PRESETS, make_learner
 from ..operators.prepare import prediction_projection, prepare
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.files import (read_csv, read_table, register_view, sql_scan, write_csv,
-                             write_parquet)
+                             write_table)
 from . import lineitem as li
 
 PRED_DIGITS = 4
@@ -117,8 +117,10 @@ def q_view_sql(spark, sf_dir):
 
 
 def q_parquet_sink(spark, sf_dir):
-    path = write_parquet(li.prepared_frame(spark, sf_dir), scratch_path(spark, "parquet_sink"))
-    return spark.read.parquet(path)
+    """Prepared rows saved as a parquet table in the shared folder, read back by name."""
+    name = write_table(li.prepared_frame(spark, sf_dir), "prepared_sink",
+                       scratch_path(spark, "parquet_sink"))
+    return spark.table(name)
 
 
 # ------------------------------------------------------------------ prepare (P, F)
