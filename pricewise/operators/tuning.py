@@ -99,7 +99,7 @@ def _tree_bins(est, param_maps) -> int | None:
     return min(bins) if bins else None
 
 
-def _pool_map(fn, items: Sequence, parallelism: int) -> list:
+def pool_map(fn, items: Sequence, parallelism: int) -> list:
     """Run independent Spark jobs from a bounded driver thread pool (what
     CrossValidator's ``parallelism`` does); order of results follows ``items``."""
     items = list(items)
@@ -110,7 +110,7 @@ def _pool_map(fn, items: Sequence, parallelism: int) -> list:
 
 
 def _fit_maps(est, data: DataFrame, param_maps, parallelism: int) -> list:
-    return _pool_map(lambda pm: est.fit(data, execution_params(est, pm)), param_maps,
+    return pool_map(lambda pm: est.fit(data, execution_params(est, pm)), param_maps,
                      parallelism)
 
 
@@ -189,7 +189,7 @@ def _search(spark, train, spec, est, param_maps, tasks, metric, parallelism, tab
             return _Encoded(train, spec, bins, precheck=False)
         return _fit_and_score(t[0], t[1], spec, est, param_maps, bins, inner)
 
-    results = _pool_map(run, jobs, parallelism)
+    results = pool_map(run, jobs, parallelism)
     full, per_task = results[0], results[1:]
     try:
         per_map = summarize(per_task)
