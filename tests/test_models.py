@@ -96,6 +96,7 @@ def test_execution_params_by_depth(spark):
     assert gbt.getParam("cacheNodeIds") not in gbt_deep
     assert gbt_deep[gbt.getParam("maxMemoryInMB")] == 1024
     assert dt.getParam("maxMemoryInMB") not in execution_params(dt, {})
+    assert dt.getParam("maxMemoryInMB") not in execution_params(dt, deep)
     fm = make_learner("fm", "y")
     assert execution_params(fm, {}) == {}
 
