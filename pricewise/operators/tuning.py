@@ -87,6 +87,8 @@ class SearchResult:
     best_index: int
     model: PipelineModel             # encoders + learner refitted on all training rows
     per_map: list                    # driver-side metric dicts (bounded by grid size)
+    encoders: PipelineModel | None = None   # the refit's encoder stages (shared in a multi search)
+    learner: object | None = None           # the refit's last stage
 
     @property
     def best_params(self) -> dict:
@@ -109,9 +111,13 @@ def pool_map(fn, items: Sequence, parallelism: int) -> list:
         return list(pool.map(fn, items))
 
 
+def _fit_candidates(cands: Sequence[tuple], data: DataFrame, parallelism: int) -> list:
+    """Fit every (estimator, param map) pair on the same rows, concurrently."""
+    return pool_map(lambda c: c[0].fit(data, execution_params(c[0], c[1])), cands, parallelism)
+
+
 def _fit_maps(est, data: DataFrame, param_maps, parallelism: int) -> list:
-    return pool_map(lambda pm: est.fit(data, execution_params(est, pm)), param_maps,
-                     parallelism)
+    return _fit_candidates([(est, pm) for pm in param_maps], data, parallelism)
 
 
 class _Encoded:
@@ -129,6 +135,8 @@ class _Encoded:
 
 
 def _score_maps(enc: PipelineModel, models: list, eval_df: DataFrame, label: str) -> list[dict]:
+    """Encode ``eval_df`` once, add one prediction column per model, and compute
+    every model's R²/RMSE in a single aggregate pass."""
     scored = enc.transform(eval_df).select(FEATURES, label)
     preds = []
     for i, m in enumerate(models):
@@ -141,10 +149,10 @@ def _score_maps(enc: PipelineModel, models: list, eval_df: DataFrame, label: str
     return out
 
 
-def _fit_and_score(fit_df, eval_df, spec, est, param_maps, bins, parallelism) -> list[dict]:
+def _fit_and_score(fit_df, eval_df, spec, cands, bins, parallelism) -> list[dict]:
     enc = _Encoded(fit_df, spec, bins, precheck=False)
     try:
-        models = _fit_maps(est, enc.rows, param_maps, parallelism)
+        models = _fit_candidates(cands, enc.rows, parallelism)
     finally:
         enc.release()
     return _score_maps(enc.model, models, eval_df, spec.label)
@@ -171,14 +179,25 @@ def plain_fit(train: DataFrame, spec: FeatureSpec, est, param_map: dict | None =
     return PipelineModel(stages=list(enc.model.stages) + [model])
 
 
-def _search(spark, train, spec, est, param_maps, tasks, metric, parallelism, table_cols,
-            summarize) -> SearchResult:
-    """Common driver of both searches. ``tasks`` are (fit rows, eval rows) pairs.
+Groups = dict  # name -> (estimator, [param maps])
+
 
-    The encoders for the final refit are fitted on all of ``train`` while the
-    folds run, since they do not depend on which map wins."""
-    param_maps = list(param_maps)
-    bins = _tree_bins(est, param_maps)
+def _search(spark, train, spec, groups: Groups, tasks, metric, parallelism, table_cols,
+            summarize) -> dict[str, SearchResult]:
+    """Common driver of every search. ``tasks`` are (fit rows, eval rows) pairs;
+    ``groups`` maps a name to an estimator and its grid, so several learners can
+    be searched over the same folds.
+
+    Per task the encoders are fitted once and shared by every (learner, map)
+    candidate, and all candidates are scored in one pass. The encoders for the
+    final refits are fitted on all of ``train`` while the tasks run, since they
+    do not depend on which map wins; every group's best map is then refitted on
+    those shared encoded rows."""
+    groups = {g: (est, list(maps)) for g, (est, maps) in groups.items()}
+    cands = [(est, pm) for est, maps in groups.values() for pm in maps]
+    tree_bins = [b for est, maps in groups.values() for b in [_tree_bins(est, maps)]
+                 if b is not None]
+    bins = min(tree_bins) if tree_bins else None
     check_cardinality(train, spec.categorical, label_limit_of(spec, bins))
     inner = max(1, math.ceil(parallelism / max(1, len(tasks))))
     jobs = [("full", None)] + [("task", t) for t in tasks]
@@ -187,37 +206,44 @@ def _search(spark, train, spec, est, param_maps, tasks, metric, parallelism, tab
         kind, t = job
         if kind == "full":
             return _Encoded(train, spec, bins, precheck=False)
-        return _fit_and_score(t[0], t[1], spec, est, param_maps, bins, inner)
+        return _fit_and_score(t[0], t[1], spec, cands, bins, inner)
 
     results = pool_map(run, jobs, parallelism)
     full, per_task = results[0], results[1:]
     try:
-        per_map = summarize(per_task)
-        best = _best([m["score"] for m in per_map], metric)
-        learner = est.fit(full.rows, execution_params(est, param_maps[best]))
+        chosen, offset = [], 0
+        for name, (est, maps) in groups.items():
+            part = [pt[offset:offset + len(maps)] for pt in per_task]
+            offset += len(maps)
+            per_map = summarize(part, len(maps))
+            chosen.append((name, est, maps, _best([m["score"] for m in per_map], metric), per_map))
+        learners = pool_map(lambda c: c[1].fit(full.rows, execution_params(c[1], c[2][c[3]])),
+                            chosen, parallelism)
     finally:
         full.release()
-    model = PipelineModel(stages=list(full.model.stages) + [learner])
-    table = _metrics_table(spark, param_maps, [m["row"] for m in per_map], table_cols)
-    return SearchResult(table, param_maps, best, model, per_map)
+    out = {}
+    for (name, est, maps, best, per_map), learner in zip(chosen, learners):
+        table = _metrics_table(spark, maps, [m["row"] for m in per_map], table_cols)
+        model = PipelineModel(stages=list(full.model.stages) + [learner])
+        out[name] = SearchResult(table, maps, best, model, per_map, full.model, learner)
+    return out
 
 
-def cross_validate(spark: SparkSession, train: DataFrame, spec: FeatureSpec, est,
-                   param_maps: Sequence[dict], key_cols: Sequence[str], num_folds: int = 3,
-                   metric: str = "r2", parallelism: int = 4, fold_col: str = FOLD_COL
-                   ) -> SearchResult:
-    """K-fold search (T2). Folds come from a hash of the key, so fold membership is
-    the same in every run and in SQL. Every fold refits the encoders on its own
-    training rows. Returns mean and population std of the metric per map and the
-    best map refitted on all of ``train``."""
+def cross_validate_many(spark: SparkSession, train: DataFrame, spec: FeatureSpec, groups: Groups,
+                        key_cols: Sequence[str], num_folds: int = 3, metric: str = "r2",
+                        parallelism: int = 4, fold_col: str = FOLD_COL) -> dict[str, SearchResult]:
+    """K-fold search (T2) of one or several learners over the same hash folds.
+    Fold membership is the same in every run and in SQL; every fold refits the
+    encoders on its own training rows. Per learner: mean and population std of
+    the metric per map, and the best map refitted on all of ``train``."""
     data = train if fold_col in train.columns else with_folds(train, key_cols, num_folds, fold_col)
     tasks = [(data.filter(F.col(fold_col) != k), data.filter(F.col(fold_col) == k))
              for k in range(num_folds)]
     base = train.drop(fold_col) if fold_col in train.columns else train
 
-    def summarize(per_fold):
+    def summarize(per_fold, n_maps):
         out = []
-        for i in range(len(param_maps)):
+        for i in range(n_maps):
             vals = [per_fold[k][i][metric] for k in range(num_folds)]
             rm = [per_fold[k][i]["rmse"] for k in range(num_folds)]
             mean = sum(vals) / num_folds
@@ -226,28 +252,58 @@ def cross_validate(spark: SparkSession, train: DataFrame, spec: FeatureSpec, est
                         "row": (mean, std, sum(rm) / num_folds)})
         return out
 
-    return _search(spark, base, spec, est, param_maps, tasks, metric, parallelism,
+    return _search(spark, base, spec, groups, tasks, metric, parallelism,
                    [f"avg_{metric}", f"std_{metric}", "avg_rmse"], summarize)
 
 
-def holdout_search(spark: SparkSession, train: DataFrame, spec: FeatureSpec, est,
-                   param_maps: Sequence[dict], key_cols: Sequence[str], train_ratio: float = 0.8,
-                   metric: str = "r2", parallelism: int = 4, flag_col: str = HOLDOUT_COL
+def cross_validate(spark: SparkSession, train: DataFrame, spec: FeatureSpec, est,
+                   param_maps: Sequence[dict], key_cols: Sequence[str], num_folds: int = 3,
+                   metric: str = "r2", parallelism: int = 4, fold_col: str = FOLD_COL
                    ) -> SearchResult:
-    """Hold-out search (T3) on a hash validation flag; best map refitted on all rows."""
+    """K-fold search of one learner (see ``cross_validate_many``)."""
+    return cross_validate_many(spark, train, spec, {"model": (est, param_maps)}, key_cols,
+                               num_folds, metric, parallelism, fold_col)["model"]
+
+
+def holdout_search_many(spark: SparkSession, train: DataFrame, spec: FeatureSpec, groups: Groups,
+                        key_cols: Sequence[str], train_ratio: float = 0.8, metric: str = "r2",
+                        parallelism: int = 4, flag_col: str = HOLDOUT_COL
+                        ) -> dict[str, SearchResult]:
+    """Hold-out search (T3) of one or several learners on a hash validation flag;
+    each learner's best map refitted on all rows."""
     data = (train if flag_col in train.columns
             else with_holdout_flag(train, key_cols, train_ratio, flag_col))
     tasks = [(data.filter(~F.col(flag_col)), data.filter(F.col(flag_col)))]
     base = train.drop(flag_col) if flag_col in train.columns else train
     other = "rmse" if metric == "r2" else "r2"
 
-    def summarize(per_task):
+    def summarize(per_task, n_maps):
         return [{"score": m[metric], "row": (m[metric], m[other])} for m in per_task[0]]
 
-    return _search(spark, base, spec, est, param_maps, tasks, metric, parallelism,
+    return _search(spark, base, spec, groups, tasks, metric, parallelism,
                    [f"valid_{metric}", f"valid_{other}"], summarize)
 
 
+def holdout_search(spark: SparkSession, train: DataFrame, spec: FeatureSpec, est,
+                   param_maps: Sequence[dict], key_cols: Sequence[str], train_ratio: float = 0.8,
+                   metric: str = "r2", parallelism: int = 4, flag_col: str = HOLDOUT_COL
+                   ) -> SearchResult:
+    """Hold-out search of one learner (see ``holdout_search_many``)."""
+    return holdout_search_many(spark, train, spec, {"model": (est, param_maps)}, key_cols,
+                               train_ratio, metric, parallelism, flag_col)["model"]
+
+
+def score_results(results: dict[str, SearchResult], df: DataFrame, label: str) -> dict[str, dict]:
+    """Test metrics of every refitted model of one multi search in ONE pass: the
+    shared encoders run once, each learner adds its own prediction column."""
+    encs = {id(r.encoders) for r in results.values()}
+    if len(encs) != 1 or None in [r.encoders for r in results.values()]:
+        raise ValueError("score_results needs models refitted on one shared encoding")
+    first = next(iter(results.values()))
+    metrics = _score_maps(first.encoders, [r.learner for r in results.values()], df, label)
+    return dict(zip(results, metrics))
+
+
 def _metrics_table(spark: SparkSession, param_maps, values, value_names) -> DataFrame:
     names = grid_names(param_maps)
     schema = StructType([StructField("map_id", IntegerType(), False)] +

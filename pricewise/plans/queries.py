@@ -341,23 +341,24 @@ COMPARE_LEARNERS = ("dt", "rf", "gbt")
 
 
 def q_model_compare(spark, sf_dir):
-    """Learner x selection method, each best model refitted and scored on test.
-    Searches run one after another: each already runs its folds and maps
-    concurrently, and running the six at once measured no faster."""
+    """Learner x selection method (M3): per method ONE multi-learner search (each
+    fold encoded once and shared by all learners and maps), every learner's best
+    map refitted on one shared encoding, and all refitted models scored on the
+    test rows in one pass."""
     train, test = _split(spark, sf_dir)
-    runs = [(kind, method) for kind in COMPARE_LEARNERS for method in ("cv", "holdout")]
-    with persisted(train) as t, persisted(test) as s:
-        def one(run):
-            kind, method = run
-            est = make_learner(kind, li.LABEL, **CELL_PARAMS[kind])
-            maps = tu.build_grid(est, CELL_GRIDS[kind])
+    groups = {}
+    for kind in COMPARE_LEARNERS:
+        est = make_learner(kind, li.LABEL, **CELL_PARAMS[kind])
+        groups[kind] = (est, tu.build_grid(est, CELL_GRIDS[kind]))
+    rows = []
+    with persisted(train) as t:
+        for method in ("cv", "holdout"):
             if method == "cv":
-                res = tu.cross_validate(spark, t, li.CELL_SPEC, est, maps, li.KEY, 3)
+                res = tu.cross_validate_many(spark, t, li.CELL_SPEC, groups, li.KEY, 3)
             else:
-                res = tu.holdout_search(spark, t, li.CELL_SPEC, est, maps, li.KEY, 0.8)
-            m = ev.multi_metrics(res.model.transform(s), li.LABEL, ["prediction"])[0]
-            return (kind, method, m["r2"], m["rmse"])
-        rows = [one(r) for r in runs]
+                res = tu.holdout_search_many(spark, t, li.CELL_SPEC, groups, li.KEY, 0.8)
+            scores = tu.score_results(res, test, li.LABEL)
+            rows += [(k, method, scores[k]["r2"], scores[k]["rmse"]) for k in COMPARE_LEARNERS]
     schema = StructType([StructField("learner", StringType(), False),
                          StructField("selection", StringType(), False),
                          StructField("test_r2", DoubleType(), True),

@@ -130,3 +130,35 @@ def test_empty_validation_fold_is_an_error(spark, split):
     data = train.withColumn(sp.FOLD_COL, F.lit(0))
     with pytest.raises(Exception):
         tu.cross_validate(spark, data, li.CELL_SPEC, est, [{}], li.KEY, num_folds=2)
+
+
+def test_multi_learner_search_matches_single(spark, split):
+    train, test = split
+    groups = {}
+    for kind in ("dt", "gbt"):
+        est = make_learner(kind, li.LABEL, **Q.CELL_PARAMS[kind])
+        groups[kind] = (est, tu.build_grid(est, Q.CELL_GRIDS[kind]))
+    many = tu.holdout_search_many(spark, train, li.CELL_SPEC, groups, li.KEY, 0.8)
+    for kind, (est, maps) in groups.items():
+        one = tu.holdout_search(spark, train, li.CELL_SPEC, est, maps, li.KEY, 0.8)
+        assert [m["score"] for m in one.per_map] == pytest.approx(
+            [m["score"] for m in many[kind].per_map], abs=1e-9)
+        assert one.best_index == many[kind].best_index
+    shared = tu.score_results(many, test, li.LABEL)
+    for kind, res in many.items():
+        alone = ev.multi_metrics(res.model.transform(test), li.LABEL, ["prediction"])[0]
+        assert shared[kind]["r2"] == pytest.approx(alone["r2"], abs=1e-12)
+        assert shared[kind]["rmse"] == pytest.approx(alone["rmse"], rel=1e-12)
+
+
+def test_evaluator_picks_lowest_rmse():
+    assert tu._best([3.0, 1.0, 2.0], "rmse") == 1
+    assert tu._best([3.0, 1.0, 3.0], "r2") == 0
+    assert tu._best([float("nan"), 0.5], "r2") == 1
+
+
+def test_comparison_table_unions_by_name(spark):
+    a = spark.createDataFrame([("dt", 0.5)], "learner string, r2 double")
+    b = spark.createDataFrame([(0.7, "rf")], "r2 double, learner string")
+    rows = ev.comparison_table([a, b]).orderBy("learner").collect()
+    assert [(r.learner, r.r2) for r in rows] == [("dt", 0.5), ("rf", 0.7)]
