@@ -96,6 +96,10 @@ def spread(df: DataFrame, key_cols: Sequence[str], min_partitions: int) -> DataF
     Spark sorts before a round-robin exchange, so a retried task gets the same
     rows; rows are then sorted by key inside each partition so the order seen by
     sampling learners does not depend on shuffle fetch order."""
-    if df.rdd.getNumPartitions() >= min_partitions:
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as is
+        return df
+    if n >= min_partitions:
         return df
     return df.repartition(min_partitions).sortWithinPartitions(*key_cols)

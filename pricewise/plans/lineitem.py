@@ -14,6 +14,7 @@ from ..functions.columns import epoch_seconds
 from ..operators.features import FeatureSpec
 from ..operators.prepare import PrepareSpec, prepare
 from ..operators.splits import spread
+from ..session import default_parallelism
 from ..sources.files import read_table
 
 KEY = ("l_orderkey", "l_linenumber")
@@ -95,4 +96,4 @@ def prepared_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
 
 def training_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared rows spread over at least the cluster's default parallelism."""
-    return prepared_frame(spark, sf_dir, spark.sparkContext.defaultParallelism)
+    return prepared_frame(spark, sf_dir, default_parallelism(spark))

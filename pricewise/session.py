@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False
     the session. Only a local-mode session (tests) may fall back to a fresh temp
     folder; on a cluster a machine-local folder would not survive executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; only the session setting is available
+        return spark.conf.get(CHECKPOINT_CONF, None)
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
@@ -59,6 +62,14 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False
     return None
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores the cluster offers (falls back to the shuffle partition setting)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for sinks and round trips."""
     base = ensure_checkpoint_dir(spark, allow_local_default=True)
