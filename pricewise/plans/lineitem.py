@@ -51,6 +51,11 @@ BASE_SPEC = FeatureSpec(
 # each (returnflag, linestatus) cell, which makes the learners checkable in SQL.
 CELL_SPEC = FeatureSpec(label=LABEL, categorical=("l_returnflag", "l_linestatus"))
 
+# One continuous feature with fewer distinct values (50) than split candidates:
+# every midpoint between neighbouring training values is a candidate, so the
+# best single split is an exact SQL search.
+STUMP_SPEC = FeatureSpec(label=LABEL, numeric=("l_quantity",))
+
 
 def raw_frame(spark: SparkSession, sf_dir: str, spread_to: int | None = None) -> DataFrame:
     """Reference-shaped rows. With ``spread_to`` an under-partitioned scan (a

@@ -127,6 +127,26 @@ SELECT v.l_orderkey, v.l_linenumber, round(c.p, {digits}) AS prediction,
 FROM test v JOIN cell c ON {_CK_JOIN}""")
 
 
+def stump_predictions_sql(col: str = "l_quantity", digits: int = 4) -> str:
+    """Best single split of ``col`` by variance reduction (max sl^2/nl + sr^2/nr)
+    over midpoints of neighbouring distinct training values; predict side means."""
+    ctes = f"""sv AS (SELECT {col} AS v, count(*) AS n, sum(price) AS s FROM train GROUP BY {col}),
+sc AS (SELECT v, lead(v) OVER (ORDER BY v) AS nv,
+              sum(n) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nl,
+              sum(s) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sl
+       FROM sv),
+st AS (SELECT sum(n) AS nt, sum(s) AS stot FROM sv),
+cand AS (SELECT (v + nv) / 2 AS thr, nl, sl, nt - nl AS nr, stot - sl AS sr
+         FROM sc CROSS JOIN st WHERE nv IS NOT NULL),
+best AS (SELECT thr, sl / nl AS pl, sr / nr AS pr FROM cand
+         ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)"""
+    body = f"""SELECT v.l_orderkey, v.l_linenumber,
+       round(CASE WHEN v.{col} <= b.thr THEN b.pl ELSE b.pr END, {digits}) AS prediction,
+       v.price AS trueLabel
+FROM test v CROSS JOIN best b"""
+    return with_prep_ctes(ctes, body)
+
+
 def test_metrics_cte() -> str:
     """Test R²/RMSE of the cell-mean model (m0) and the train-mean model (m1)."""
     return f"""tcell AS (SELECT {_CK}, avg(price) AS p FROM train GROUP BY {_CK}),
@@ -297,6 +317,7 @@ def oracle_queries() -> dict[str, str]:
         "gbt_predict": predictions_sql(),
         "gbt_plain": predictions_sql(),
         "stream_score": predictions_sql(),
+        "stump_predict": stump_predictions_sql(),
         "best_params": best_params_sql(_CELL_PARAMS["dt"]),
         "eval_metrics": eval_metrics_sql(),
         "model_compare": model_compare_sql(("dt", "rf", "gbt")),

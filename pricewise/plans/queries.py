@@ -257,6 +257,16 @@ def q_scored_rows(spark, sf_dir):
                       F.round("prediction", PRED_DIGITS).alias("prediction"), "trueLabel")
 
 
+def q_stump_predict(spark, sf_dir):
+    """Depth-1 tree on the scaled quantity: MLlib's split search over continuous
+    candidates, checked against an exhaustive SQL search."""
+    train, test = _split(spark, sf_dir)
+    est = make_learner("dt", li.LABEL, maxDepth=1, maxBins=64)
+    with persisted(train) as t:
+        model = tu.plain_fit(t, li.STUMP_SPEC, est)
+    return _score(model, test)
+
+
 def q_fm_predict(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     est = make_learner("fm", li.LABEL, **FM_PARAMS)
@@ -392,6 +402,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rf_predict": _cell_predict("rf"),
     "gbt_predict": _cell_predict("gbt"),
     "scored_rows": q_scored_rows,
+    "stump_predict": q_stump_predict,
     "fm_predict": q_fm_predict,
     "dt_cv": _cell_search_query("dt", "cv"),
     "dt_holdout": _cell_search_query("dt", "holdout"),
