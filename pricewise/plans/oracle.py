@@ -147,6 +147,44 @@ FROM test v CROSS JOIN best b"""
     return with_prep_ctes(ctes, body)
 
 
+def depth2_predictions_sql(col: str = "l_quantity", digits: int = 4) -> str:
+    """Depth-2 tree on one continuous column: the stump search at the root, then
+    the same search again inside each side (candidates are the global midpoints
+    that fall inside the side's value range). A side with one distinct value
+    stays a leaf."""
+    ctes = f"""sv AS (SELECT {col} AS v, count(*) AS n, sum(price) AS s FROM train GROUP BY {col}),
+sc AS (SELECT v, lead(v) OVER (ORDER BY v) AS nv,
+              sum(n) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nl,
+              sum(s) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sl
+       FROM sv),
+st AS (SELECT sum(n) AS nt, sum(s) AS stot FROM sv),
+best1 AS (SELECT (v + nv) / 2 AS thr FROM sc CROSS JOIN st WHERE nv IS NOT NULL
+          ORDER BY sl * sl / nl + (stot - sl) * (stot - sl) / (nt - nl) DESC LIMIT 1),
+sv2 AS (SELECT sv.*, CASE WHEN sv.v <= b.thr THEN 0 ELSE 1 END AS side FROM sv CROSS JOIN best1 b),
+sc2 AS (SELECT side, v, lead(v) OVER (PARTITION BY side ORDER BY v) AS nv,
+               sum(n) OVER (PARTITION BY side ORDER BY v
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nl,
+               sum(s) OVER (PARTITION BY side ORDER BY v
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sl
+        FROM sv2),
+st2 AS (SELECT side, sum(n) AS nt, sum(s) AS stot FROM sv2 GROUP BY side),
+cand2 AS (SELECT c.side, (c.v + c.nv) / 2 AS thr, c.sl / c.nl AS pl,
+                 (t.stot - c.sl) / (t.nt - c.nl) AS pr,
+                 c.sl * c.sl / c.nl + (t.stot - c.sl) * (t.stot - c.sl) / (t.nt - c.nl) AS score
+          FROM sc2 c JOIN st2 t ON t.side = c.side WHERE c.nv IS NOT NULL),
+best2 AS (SELECT side, thr, pl, pr FROM (
+            SELECT *, row_number() OVER (PARTITION BY side ORDER BY score DESC) AS rn FROM cand2)
+          WHERE rn = 1)"""
+    body = f"""SELECT v.l_orderkey, v.l_linenumber,
+       round(CASE WHEN b2.thr IS NULL THEN t.stot / t.nt
+                  WHEN v.{col} <= b2.thr THEN b2.pl ELSE b2.pr END, {digits}) AS prediction,
+       v.price AS trueLabel
+FROM test v CROSS JOIN best1 b1
+JOIN st2 t ON t.side = CASE WHEN v.{col} <= b1.thr THEN 0 ELSE 1 END
+LEFT JOIN best2 b2 ON b2.side = t.side"""
+    return with_prep_ctes(ctes, body)
+
+
 def test_metrics_cte() -> str:
     """Test R²/RMSE of the cell-mean model (m0) and the train-mean model (m1)."""
     return f"""tcell AS (SELECT {_CK}, avg(price) AS p FROM train GROUP BY {_CK}),
@@ -318,6 +356,7 @@ def oracle_queries() -> dict[str, str]:
         "gbt_plain": predictions_sql(),
         "stream_score": predictions_sql(),
         "stump_predict": stump_predictions_sql(),
+        "depth2_predict": depth2_predictions_sql(),
         "best_params": best_params_sql(_CELL_PARAMS["dt"]),
         "eval_metrics": eval_metrics_sql(),
         "model_compare": model_compare_sql(("dt", "rf", "gbt")),

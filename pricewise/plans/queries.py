@@ -267,6 +267,16 @@ def q_stump_predict(spark, sf_dir):
     return _score(model, test)
 
 
+def q_depth2_predict(spark, sf_dir):
+    """Depth-2 tree on the scaled quantity: the level-wise split search of MLlib,
+    checked against the same exhaustive search repeated inside each child."""
+    train, test = _split(spark, sf_dir)
+    est = make_learner("dt", li.LABEL, maxDepth=2, maxBins=64)
+    with persisted(train) as t:
+        model = tu.plain_fit(t, li.STUMP_SPEC, est)
+    return _score(model, test)
+
+
 def q_fm_predict(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     est = make_learner("fm", li.LABEL, **FM_PARAMS)
@@ -403,6 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gbt_predict": _cell_predict("gbt"),
     "scored_rows": q_scored_rows,
     "stump_predict": q_stump_predict,
+    "depth2_predict": q_depth2_predict,
     "fm_predict": q_fm_predict,
     "dt_cv": _cell_search_query("dt", "cv"),
     "dt_holdout": _cell_search_query("dt", "holdout"),
