@@ -185,6 +185,34 @@ LEFT JOIN best2 b2 ON b2.side = t.side"""
     return with_prep_ctes(ctes, body)
 
 
+def gbt_stumps_sql(col: str = "l_quantity", step: float = 0.1, digits: int = 4) -> str:
+    """Two boosted depth-1 trees on one continuous column, squared loss: tree 1
+    fits the label (weight 1), tree 2 fits the pseudo-residual 2*(y - f1)
+    (weight ``step``); each tree is the exhaustive best split."""
+    def search(src: str, name: str) -> str:
+        return f"""{name}_c AS (SELECT v, lead(v) OVER (ORDER BY v) AS nv,
+              sum(n) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nl,
+              sum(s) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sl
+       FROM {src}),
+{name}_t AS (SELECT sum(n) AS nt, sum(s) AS stot FROM {src}),
+{name} AS (SELECT (c.v + c.nv) / 2 AS thr, c.sl / c.nl AS pl, (t.stot - c.sl) / (t.nt - c.nl) AS pr
+           FROM {name}_c c CROSS JOIN {name}_t t WHERE c.nv IS NOT NULL
+           ORDER BY c.sl * c.sl / c.nl + (t.stot - c.sl) * (t.stot - c.sl) / (t.nt - c.nl) DESC
+           LIMIT 1)"""
+    ctes = f"""sv AS (SELECT {col} AS v, count(*) AS n, sum(price) AS s FROM train GROUP BY {col}),
+{search("sv", "t1")},
+rv AS (SELECT {col} AS v, count(*) AS n,
+              sum(2 * (price - CASE WHEN {col} <= t1.thr THEN t1.pl ELSE t1.pr END)) AS s
+       FROM train CROSS JOIN t1 GROUP BY {col}),
+{search("rv", "t2")}"""
+    body = f"""SELECT v.l_orderkey, v.l_linenumber,
+       round(CASE WHEN v.{col} <= t1.thr THEN t1.pl ELSE t1.pr END
+             + {step} * CASE WHEN v.{col} <= t2.thr THEN t2.pl ELSE t2.pr END, {digits}) AS prediction,
+       v.price AS trueLabel
+FROM test v CROSS JOIN t1 CROSS JOIN t2"""
+    return with_prep_ctes(ctes, body)
+
+
 def test_metrics_cte() -> str:
     """Test R²/RMSE of the cell-mean model (m0) and the train-mean model (m1)."""
     return f"""tcell AS (SELECT {_CK}, avg(price) AS p FROM train GROUP BY {_CK}),
@@ -357,6 +385,7 @@ def oracle_queries() -> dict[str, str]:
         "stream_score": predictions_sql(),
         "stump_predict": stump_predictions_sql(),
         "depth2_predict": depth2_predictions_sql(),
+        "gbt_stumps_predict": gbt_stumps_sql(),
         "best_params": best_params_sql(_CELL_PARAMS["dt"]),
         "eval_metrics": eval_metrics_sql(),
         "model_compare": model_compare_sql(("dt", "rf", "gbt")),

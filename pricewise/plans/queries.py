@@ -277,6 +277,16 @@ def q_depth2_predict(spark, sf_dir):
     return _score(model, test)
 
 
+def q_gbt_stumps_predict(spark, sf_dir):
+    """Two boosting iterations of depth-1 trees on the scaled quantity: checks the
+    pseudo-residual step of MLlib's boosting against SQL."""
+    train, test = _split(spark, sf_dir)
+    est = make_learner("gbt", li.LABEL, maxDepth=1, maxIter=2, maxBins=64)
+    with persisted(train) as t:
+        model = tu.plain_fit(t, li.STUMP_SPEC, est)
+    return _score(model, test)
+
+
 def q_fm_predict(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     est = make_learner("fm", li.LABEL, **FM_PARAMS)
@@ -414,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scored_rows": q_scored_rows,
     "stump_predict": q_stump_predict,
     "depth2_predict": q_depth2_predict,
+    "gbt_stumps_predict": q_gbt_stumps_predict,
     "fm_predict": q_fm_predict,
     "dt_cv": _cell_search_query("dt", "cv"),
     "dt_holdout": _cell_search_query("dt", "holdout"),
