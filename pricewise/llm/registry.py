@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .quality_rules import op3_quality_rules
+from .warc import op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_quality_rules": op3_quality_rules,
 }
 
