@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from .quality_rules import op3_quality_rules
+from .substring_dedup import op9_substring_dedup
+from .suffix_dedup import op2_suffix_dedup
 from .warc import op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
