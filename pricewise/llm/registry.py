@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .packing import op6_best_fit_packing
 from .quality_rules import op3_quality_rules
 from .substring_dedup import op9_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
