@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .line_dedup import OP4_SQL, op4_line_dedup
 from .packing import op6_best_fit_packing
 from .quality_rules import op3_quality_rules
 from .substring_dedup import op9_substring_dedup
@@ -12,8 +13,11 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": OP4_SQL,
+}
