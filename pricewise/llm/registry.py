@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .line_dedup import OP4_SQL, op4_line_dedup
+from .ngram_join import op7_ngram_join
 from .packing import op6_best_fit_packing
 from .quality_rules import op3_quality_rules
 from .substring_dedup import op9_substring_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_ngram_join": op7_ngram_join,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
