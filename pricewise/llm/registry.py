@@ -5,6 +5,7 @@ from __future__ import annotations
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .ngram_join import op7_ngram_join
 from .packing import op6_best_fit_packing
+from .quality_classifier import op10_quality_classifier
 from .quality_rules import op3_quality_rules
 from .substring_dedup import op9_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_ngram_join": op7_ngram_join,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
