@@ -139,9 +139,11 @@ def blocks_of(docs: DataFrame, partitions: int) -> DataFrame:
 
 
 def send(block_id: int, keys: np.ndarray, bits: int, buckets: int,
-         aux: Callable[[slice], bytes] | None = None) -> Iterator[tuple[int, int, bytes]]:
+         aux: Callable[[slice], bytes] | None = None, base: int = 0
+         ) -> Iterator[tuple[int, int, bytes]]:
     """Messages of one block: distinct sorted ``keys`` (the top ``bits`` count) by bucket.
-    ``aux(part)`` adds what the decision needs to know of those keys."""
+    ``aux(part)`` adds what the decision needs to know of those keys. Keys of another kind
+    go to buckets of their own, from ``base`` on."""
     if not len(keys):
         return
     shift = np.uint64(64 - (buckets.bit_length() - 1)) if buckets > 1 else None
@@ -149,7 +151,7 @@ def send(block_id: int, keys: np.ndarray, bits: int, buckets: int,
     cut = np.nonzero(np.append(True, of[1:] != of[:-1]))[0]
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(keys)]):
         body = pack_sorted(keys[a:b] >> np.uint64(64 - bits))
-        yield int(of[a]), block_id, body + (aux(slice(a, b)) if aux else b"")
+        yield base + int(of[a]), block_id, body + (aux(slice(a, b)) if aux else b"")
 
 
 def truncated(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -239,11 +241,13 @@ def join_answers(blocks: DataFrame, answers: DataFrame,
 
 
 def several(order: np.ndarray, group: np.ndarray, source: np.ndarray, aux: list[bytes]) -> np.ndarray:
-    """Decision: 1 for fingerprints that two blocks sent, or one block flagged."""
+    """Decision: 0 for fingerprints that one block sent once; of others, 1 for the first
+    block that sent it and 2 for the rest."""
     flags = np.concatenate([unpack_flags(a) for a in aux])[order]
     found = (np.bincount(group) > 1) | (np.bincount(group, weights=flags) > 0)
+    first = np.append(True, group[1:] != group[:-1])  # entries are in order of their sources
     out = np.zeros(len(order), dtype=np.uint8)
-    out[order] = found[group]
+    out[order] = np.where(found[group], np.where(first, 1, 2), 0)
     return out
 
 

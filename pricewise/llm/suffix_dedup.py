@@ -10,6 +10,9 @@ cover positions, where the next 110 bytes agree as well. So:
    range of key values, and holds a bounded number of suffixes whatever the corpus is.
 3. Tied suffixes mark the bytes they cover; each document is cut in its own block.
 
+Of whole documents that are equal only the first sorts its suffixes, as tied ones: a group of
+copies costs one document, however large it is.
+
 Keys are 64-bit fingerprints of the prefix instead of the bytes, so buckets are ranges of
 fingerprints, not of first letters: order among unequal suffixes is never used, and frequent
 beginnings cannot swell a bucket. Two different strings share a key with probability 2**-64.
@@ -57,6 +60,23 @@ def _suffixes(t: Texts, candidate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, range_hash(sums, at, at + MATCH)
 
 
+def _whole(t: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of at least 200 bytes, and a fingerprint of each."""
+    at = np.nonzero(t.sizes >= MATCH)[0]
+    sums = prefix_sums(byte_values(t.data))
+    return at, range_hash(sums, t.starts[at], t.ends[at])
+
+
+def _pack_marks(candidate: np.ndarray, copied: np.ndarray) -> bytes:
+    body = pack_flags(candidate)
+    return len(body).to_bytes(4, "little") + body + pack_flags(copied)
+
+
+def _unpack_marks(extra: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = 4 + int.from_bytes(extra[:4], "little")
+    return unpack_flags(extra[4:n]), unpack_flags(extra[n:])
+
+
 def _candidates(t: Texts, tied: np.ndarray) -> np.ndarray:
     """Suffixes of at least 200 bytes with a tied sample (positions) in reach."""
     doc = t.doc_of(tied)
@@ -108,30 +128,50 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         t, _ = unpack_texts(payload)
         keys, _, n = distinct(_samples(t, bits)[1])
         yield from send(block_id, keys, bits, buckets, lambda part: pack_flags(n[part] > 1))
+        whole, _, m = distinct(_whole(t)[1])
+        yield from send(block_id, whole, 64, buckets, lambda part: pack_flags(m[part] > 1), buckets)
 
     def settle_samples(block_id: int, left: pa.Table, right: pa.Table) -> pa.Table:
         t, _ = unpack_texts(left.column("payload")[0].as_py())
         at, keys = _samples(t, bits)
         unique, place, _ = distinct(keys)
-        candidate = _candidates(t, at[answers_of(right, len(unique))[place] > 0])
+        doc, whole = _whole(t)
+        same, first, which = np.unique(whole, return_index=True, return_inverse=True)
+        codes = answers_of(right, len(unique) + len(same))
+        copied = np.zeros(len(t), dtype=np.uint8)  # 1: the first of its copies, 2: a later one
+        copied[doc] = codes[len(unique):][which]
+        later = np.ones(len(doc), dtype=bool)
+        later[first] = False
+        copied[doc[later]] = 2
+        candidate = _candidates(t, at[codes[: len(unique)][place] > 0])
+        gone = np.zeros(len(t.data), dtype=bool)
+        for d in np.nonzero(copied == 2)[0].tolist():
+            candidate[t.starts[d]:t.ends[d]] = False
+            gone[t.starts[d]:t.ends[d]] = True
         run = np.append(0, np.cumsum(candidate))
         open_docs = run[t.ends] > run[t.starts]
-        rest, flags = _subset(t, np.nonzero(open_docs)[0], candidate)
-        done, none = _subset(t, np.nonzero(~open_docs)[0], np.zeros(len(t.data), dtype=bool))
-        payload = pack_texts(rest, pack_flags(flags)) if len(rest) else None
-        return _table(block_id, _results(done, none), payload)
+        rest = np.nonzero(open_docs)[0]
+        payload = None
+        if len(rest):
+            texts, flags = _subset(t, rest, candidate)
+            payload = pack_texts(texts, _pack_marks(flags, copied[rest] == 1))
+        done = _subset(t, np.nonzero(~open_docs)[0], gone)
+        return _table(block_id, _results(*done), payload)
 
     def send_suffixes(block_id: int, payload: bytes) -> Iterator[tuple[int, int, bytes]]:
         t, extra = unpack_texts(payload)
-        keys, _, n = distinct(_suffixes(t, unpack_flags(extra))[1])
-        yield from send(block_id, keys, 64, buckets, lambda part: pack_flags(n[part] > 1))
+        candidate, copied = _unpack_marks(extra)
+        at, keys = _suffixes(t, candidate)
+        unique, place, n = distinct(keys)
+        tied = (n > 1) | (np.bincount(place, weights=copied[t.doc_of(at)], minlength=len(n)) > 0)
+        yield from send(block_id, unique, 64, buckets, lambda part: pack_flags(tied[part]))
 
     def cut(block_id: int, left: pa.Table, right: pa.Table) -> pa.Table:
         done = left.filter(left.column("payload").is_null()).select(_NAMES[2:])
         rows = []
         for payload in left.column("payload").drop_null().to_pylist():
             t, extra = unpack_texts(payload)
-            at, keys = _suffixes(t, unpack_flags(extra))
+            at, keys = _suffixes(t, _unpack_marks(extra)[0])
             unique, place, _ = distinct(keys)
             tied = at[answers_of(right, len(unique))[place] > 0]
             rows += _results(t, covered(tied, MATCH, len(t.data)))

@@ -17,7 +17,7 @@ def corpus(seed=3):
     rng = random.Random(seed)
     base = [prose(rng, rng.randrange(150)) for _ in range(30)]
     passages = [prose(rng, rng.randrange(12, 60)) for _ in range(6)] + ["x" * 199, "yz" * 100, "w" * 201]
-    texts = list(ODD_TEXTS) + base + base[:6] + [base[0]] * 8
+    texts = list(ODD_TEXTS) + base + base[:6] + [base[0]] * 8 + [base[7] + base[8]] * 3 + [base[7]]
     for _ in range(40):
         parts = [prose(rng, rng.randrange(30)), rng.choice(passages), prose(rng, rng.randrange(30))]
         texts.append(rng.choice([" ", "\n", ""]).join(parts))
