@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
-from .textblock import (NEWLINE, SEPARATOR, Texts, batch_slices, byte_values, mix, prefix_sums,
+from .textblock import (SEPARATOR, Texts, batch_slices, byte_values, mix, prefix_sums,
                         range_hash)
 
 #: Characters that count as symbols.
@@ -83,15 +83,7 @@ def measure(t: Texts) -> dict[str, np.ndarray]:
     out["n_upper_words"] = np.bincount(doc[(upper >= 2) & (lower == 0)], minlength=n)
     sums = prefix_sums(byte_values(data))
 
-    # lines: a line ends before each \n and at the end of its text
-    newline = np.nonzero(data == NEWLINE)[0]
-    full = np.nonzero(t.sizes >= 0)[0]
-    l_begin = np.concatenate([t.starts[full], newline + 1])
-    l_doc = np.concatenate([full, t.doc_of(newline) if len(newline) else newline])
-    order = np.lexsort((l_begin, l_doc))
-    l_begin, l_doc = l_begin[order], l_doc[order]
-    l_end = np.where(np.append(l_doc[1:] == l_doc[:-1], False), np.append(l_begin[1:], 0) - 1,
-                     t.ends[l_doc])
+    l_begin, l_end, l_doc = t.lines()
     worded = _count(~SEPARATOR[data], l_begin, l_end) > 0
     out["n_lines"] = np.bincount(l_doc, minlength=n)
     wd = l_doc[worded]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontamination import op5_benchmark_decontamination
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .ngram_join import op7_ngram_join
 from .packing import op6_best_fit_packing
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_ngram_join": op7_ngram_join,
     "op9_substring_dedup": op9_substring_dedup,

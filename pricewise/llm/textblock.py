@@ -20,6 +20,7 @@ SEPARATOR = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 5
 _TABLE = np.random.default_rng(20240607).integers(1, 2**64, 256, dtype=np.uint64)
+_TABLE_2 = np.random.default_rng(20240608).integers(1, 2**64, 256, dtype=np.uint64)
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
 _ASCII_LOWER[65:91] += 32
 _powers: dict[str, np.ndarray] = {}
@@ -59,8 +60,9 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def byte_values(data: np.ndarray) -> np.ndarray:
-    return _TABLE[data]
+def byte_values(data: np.ndarray, second: bool = False) -> np.ndarray:
+    """A random 64-bit value per byte; ``second`` is independent of the first."""
+    return (_TABLE_2 if second else _TABLE)[data]
 
 
 def ascii_lower(data: np.ndarray) -> np.ndarray:
@@ -94,13 +96,15 @@ class Texts:
         full = np.nonzero(self.sizes > 0)[0]
         return full[np.searchsorted(self.starts[full], positions, side="right") - 1]
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Begin and end of every word, and the index of its document."""
+    def words(self, separator: np.ndarray = SEPARATOR
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and end of every word, and the index of its document. ``separator`` tells
+        for each byte value whether it parts words."""
         n = len(self.data)
         if not n:
             z = np.zeros(0, dtype=np.int64)
             return z, z, z
-        word = ~SEPARATOR[self.data]
+        word = ~separator[self.data]
         edge = np.zeros(n + 1, dtype=bool)
         edge[self.starts[self.sizes > 0]] = True
         edge[n] = True
@@ -112,6 +116,19 @@ class Texts:
         return begin, np.nonzero(last)[0] + 1, self.doc_of(begin)
 
 
+    def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and end of every line (\\n ends one, and an empty text is one line), and the
+        index of its document, in order."""
+        newline = np.nonzero(self.data == NEWLINE)[0]
+        begin = np.concatenate([self.starts, newline + 1])
+        doc = np.concatenate([np.arange(len(self)), self.doc_of(newline) if len(newline) else newline])
+        order = np.lexsort((begin, doc))
+        begin, doc = begin[order], doc[order]
+        more = np.append(doc[1:] == doc[:-1], False)[: len(doc)]
+        end = np.where(more, np.append(begin[1:], 0)[: len(doc)] - 1, self.ends[doc])
+        return begin, end, doc
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bytes of an Arrow string column (null texts are empty)."""
     column = column.cast(pa.large_binary())
