@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import op5_benchmark_decontamination
+from .license_scan import op8_license_scan
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .ngram_join import op7_ngram_join
 from .packing import op6_best_fit_packing
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_ngram_join": op7_ngram_join,
+    "op8_license_scan": op8_license_scan,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
