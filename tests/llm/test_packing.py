@@ -21,19 +21,20 @@ def test_ids_equal_the_tokenizers():
     alphabet = list("ab eé　\n\t\r\x0b\x1c\x85 '.,1½ñ 的🙂|<>") + ["  ", "\n\n", " the", "n't", "<|endoftext|>", " \n "]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(3000)]
     texts += [t or "" for t in ODD_TEXTS] + [prose(rng, 300)]
-    enc = p.Encoder(p.vocabulary_path())
-    for t in texts * 2:
-        assert np.frombuffer(enc.encode(t), dtype="<u4").tolist() == ids_of(t), repr(t)
-
-
-def test_known_words_stay_bounded(monkeypatch):
-    monkeypatch.setattr(p, "KNOWN_WORDS", 50)
-    rng = random.Random(6)
-    enc = p.Encoder(p.vocabulary_path())
-    for _ in range(40):
-        t = prose(rng, rng.randrange(80))
-        assert np.frombuffer(enc.encode(t), dtype="<u4").tolist() == ids_of(t)
-        assert len(enc.known) <= 50
+    texts += ["a" + " " * 3000 + "b", "\n" * 2500]
+    for enc in (p.Encoder(p.vocabulary_path(), p.ranks_path()), p.Encoder(p.vocabulary_path(), None)):
+        for t in texts:
+            assert np.frombuffer(enc.encode(t), dtype="<u4").tolist() == ids_of(t), repr(t)
+
+
+def test_both_libraries_agree_on_every_token_and_character():
+    fast = p.Encoder(p.vocabulary_path(), p.ranks_path()).fast
+    vocabulary = [TOKENIZER.decode([i]) for i in range(0, 50256, 5)]
+    characters = [f"a{chr(c)}b {chr(c)}1 {chr(c)}  {chr(c)}{chr(c)}." for c in
+                  [*range(0x3000), *range(0x3000, 0x110000, 37)] if not 0xD800 <= c <= 0xDFFF]
+    texts = [t for t in vocabulary + characters if "<|endoftext|>" not in t]
+    for t, e in zip(texts, TOKENIZER.encode_batch(texts, add_special_tokens=False)):
+        assert fast.encode_ordinary(t) == e.ids, repr(t)
 
 
 @pytest.mark.parametrize("capacity", [1024, 64])
