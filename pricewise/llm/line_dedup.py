@@ -18,48 +18,63 @@ by the query (``drop_repeated_lines`` hands them on).
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fresh_path, read
+from .textblock import (SEPARATOR, Texts, ascii_lower, batch_slices, byte_values, prefix_sums,
+                        range_hash, slices)
 
 MIN_KEY_CHARS = 10
-#: The white space that is stripped from a key.
-STRIPPED = "\t\n\x0b\x0c\r "
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Stands for a missing doc_id: after every other.
 LAST = 2**63 - 1
-
-
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(STRIPPED)), _UPPER, _LOWER)
-
-
-def lines_of(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
-
-
-def key_hash(line: Column) -> Column:
-    """128-bit hash of a line's key; null for a key that is too short to count."""
-    key = line_key(line)
-    return F.when(F.char_length(key) >= MIN_KEY_CHARS, F.unhex(F.md5(key)))
+RUN_SCHEMA = "h1 long, h2 long, owner long"
+KEY = ["h1", "h2"]
+
+
+def line_hashes(t: Texts) -> tuple[np.ndarray, ...]:
+    """Begin, end and document of every line of a slice, whether its key counts, and the
+    two halves of the key's hash."""
+    begin, end, doc = t.lines()
+    solid = np.append(np.nonzero(~SEPARATOR[t.data])[0], len(t.data))
+    first = np.minimum(solid[np.searchsorted(solid, begin)], end)
+    last = solid[np.maximum(0, np.searchsorted(solid, end) - 1)] + 1
+    last = np.where(first < end, last, first)
+    points = np.append(0, np.cumsum((t.data & 0xC0) != 0x80))
+    counts = points[last] - points[first] >= MIN_KEY_CHARS
+    lower = ascii_lower(t.data)
+    halves = [range_hash(prefix_sums(byte_values(lower, second)), first, last).view(np.int64)
+              for second in (False, True)]
+    return begin, end, doc, counts, *halves
 
 
 def owner_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
 
 
+def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for t in slices(batches):
+        _, _, doc, counts, h1, h2 = line_hashes(t)
+        who = np.where(t.null_id, LAST, t.ids)[doc]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a[counts]) for a in (who, h1, h2)], ["who", "h1", "h2"])
+
+
 def keyed_lines(docs: DataFrame) -> DataFrame:
-    """(who, hash) of every line whose key counts."""
-    lines = docs.select(owner_id().alias("who"), F.explode(lines_of(F.col("text"))).alias("line"))
-    return lines.select("who", key_hash(F.col("line")).alias("hash")).filter(F.col("hash").isNotNull())
+    """(who, h1, h2) of every line whose key counts."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(_keyed, "who long, h1 long, h2 long")
 
 
 @dataclass
 class LevelledRuns:
-    """Sorted runs of (hash, owner) in the shared folder. The list of runs is the only state
+    """Sorted runs of (h1, h2, owner) in the shared folder. The list of runs is the only state
     on the driver: one path per run."""
     spark: SparkSession
     folder: str
@@ -70,7 +85,7 @@ class LevelledRuns:
     def _write(self, rows: DataFrame, level: int) -> None:
         path = f"{self.folder}/level{level}-run{self.written}"
         self.written += 1
-        rows.sortWithinPartitions("hash").write.parquet(path)
+        rows.sortWithinPartitions(*KEY).write.parquet(path)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(path)
@@ -80,17 +95,16 @@ class LevelledRuns:
 
     def known(self) -> DataFrame:
         """Every known key with its owner; a key is in one run only."""
-        schema = "hash binary, owner long"
         paths = self.paths()
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+            return self.spark.createDataFrame([], RUN_SCHEMA)
+        return self.spark.read.schema(RUN_SCHEMA).parquet(*paths)
 
     def ingest(self, batch: DataFrame) -> None:
-        """Add the keys of ``batch`` (who, hash) that no run holds."""
-        fresh = batch.groupBy("hash").agg(F.min("who").alias("owner"))
+        """Add the keys of ``batch`` (who, h1, h2) that no run holds."""
+        fresh = batch.groupBy(*KEY).agg(F.min("who").alias("owner"))
         if self.paths():
-            fresh = fresh.join(self.known().select("hash").hint("merge"), "hash", "left_anti")
+            fresh = fresh.join(self.known().select(*KEY).hint("merge"), KEY, "left_anti")
         self._write(fresh, 0)
         self.compact()
 
@@ -98,9 +112,9 @@ class LevelledRuns:
         """Merge the runs of every level that is full into one of the next level."""
         for level, runs in enumerate(self.levels):
             if len(runs) >= self.fanout:
-                merged = self.spark.read.schema("hash binary, owner long").parquet(*runs)
+                merged = self.spark.read.schema(RUN_SCHEMA).parquet(*runs)
                 self.levels[level] = []
-                self._write(merged.repartition("hash"), level + 1)
+                self._write(merged.repartition(*KEY), level + 1)
                 return self.compact()
         return None
 
@@ -132,29 +146,66 @@ def ingest_all(docs: DataFrame, batches: int = 4, fanout: int = 4) -> LevelledRu
 
 def repeated_lines(docs: DataFrame, runs: LevelledRuns) -> DataFrame:
     """(who, gone): per document the keys of its lines that another document owns."""
-    hits = keyed_lines(docs).join(runs.known(), "hash").filter(F.col("owner") != F.col("who"))
-    return hits.groupBy("who").agg(F.collect_set("hash").alias("gone"))
+    hits = keyed_lines(docs).join(runs.known(), KEY).filter(F.col("owner") != F.col("who"))
+    return hits.groupBy("who").agg(F.collect_set(F.struct(*KEY)).alias("gone"))
+
+
+def _drop_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc", "n_lines", "n_dropped", "kept_text"]
+    for b in batches:
+        gone, id_and_text = b.column("gone"), b.select(["doc_id", "text"])
+        for row, stop, t in batch_slices(id_and_text):
+            begin, end, doc, counts, h1, h2 = line_hashes(t)
+            stays = np.ones(len(begin), dtype=bool)
+            own = np.searchsorted(doc, np.arange(len(t) + 1))
+            for i in np.nonzero(gone.slice(row, stop - row).is_valid().to_numpy(zero_copy_only=False))[0]:
+                drop = {(x["h1"], x["h2"]) for x in gone[row + int(i)].as_py()}
+                for k in range(own[i], own[i + 1]):
+                    stays[k] = not (counts[k] and (int(h1[k]), int(h2[k])) in drop)
+            n = np.bincount(doc, minlength=len(t))
+            dropped = np.bincount(doc[~stays], minlength=len(t))
+            texts = []
+            for i in range(len(t)):
+                if dropped[i]:
+                    keep = [t.data[begin[k]:end[k]].tobytes() for k in range(own[i], own[i + 1]) if stays[k]]
+                    texts.append(b"\n".join(keep))
+                else:
+                    texts.append(t.text(i))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc").slice(row, stop - row), pa.array(n.astype(np.int64)),
+                 pa.array(dropped.astype(np.int64)), pa.array(texts, pa.binary()).cast(pa.string())], names)
 
 
 def drop_repeated_lines(docs: DataFrame, batches: int = 4, fanout: int = 4) -> DataFrame:
-    """(doc, kept): every row of ``docs`` as a struct, with its kept lines as an array."""
+    """(doc, n_lines, n_dropped, kept_text): the other columns of every row of ``docs`` as
+    the struct ``doc``, and what its lines come to."""
     runs = ingest_all(docs.select("doc_id", "text"), batches, fanout)
     gone = repeated_lines(docs.select("doc_id", "text"), runs)
-    rows = docs.select(F.struct("*").alias("doc"), owner_id().alias("who"))
-    lines = lines_of(F.col("doc.text"))
-    stays = lambda line: F.coalesce(
-        ~F.array_contains(F.col("gone"), key_hash(line)), F.lit(True))
-    return rows.join(gone, "who", "left").select(
-        "doc", F.when(F.col("gone").isNull(), lines).otherwise(F.filter(lines, stays)).alias("kept"))
+    other = F.struct("doc_id", *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
+    rows = docs.select(other.alias("doc"), F.col("doc_id").cast("long"),
+                       F.col("text").cast("string"), owner_id().alias("who"))
+    joined = rows.join(gone, "who", "left").select("doc", "doc_id", "text", "gone")
+    schema = T.StructType([joined.schema["doc"], T.StructField("n_lines", T.LongType()),
+                           T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())])
+    return joined.mapInArrow(_drop_lines, schema)
 
 
 def line_counts(docs: DataFrame, batches: int = 4, fanout: int = 4) -> DataFrame:
     """Per document: lines, lines dropped, and the kept text."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    n = F.size(lines_of(F.col("doc.text"))).cast("long")
-    return drop_repeated_lines(rows, batches, fanout).select(
-        "doc.doc_id", n.alias("n_lines"), (n - F.size("kept")).alias("n_dropped"),
-        F.array_join("kept", "\n").alias("kept_text"))
+    return drop_repeated_lines(docs.select("doc_id", "text"), batches, fanout).select(
+        F.col("doc.doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", "kept_text")
+
+
+def without_repeated_lines(docs: DataFrame, batches: int = 4, fanout: int = 4) -> DataFrame:
+    """``docs`` with the kept lines as their text, and n_chars (if there) of that text. A
+    document of which nothing but white space is left goes."""
+    rows = drop_repeated_lines(docs, batches, fanout)
+    kept = rows.filter((F.col("n_dropped") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    text = {"text": F.col("kept_text"),
+            "n_chars": F.when(F.col("n_dropped") == 0, F.col("doc.n_chars"))
+            .otherwise(F.char_length("kept_text")) if "n_chars" in docs.columns else None}
+    return kept.select(*[(text[c].cast(docs.schema[c].dataType) if text.get(c) is not None
+                          else F.col("doc").getField(c)).alias(c) for c in docs.columns])
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
