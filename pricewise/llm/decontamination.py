@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
-from .textblock import Texts, ascii_lower, byte_values, prefix_sums, range_hash, slices
+from .textblock import (Texts, ascii_lower, batch_slices, byte_values, prefix_sums, range_hash,
+                        slices)
 
 MIN_MATCH = 4
 THRESHOLD = 0.6
@@ -189,45 +190,73 @@ def _seeds_of(block: Block, item: int, min_match: int) -> np.ndarray:
     return np.searchsorted(block.seed, range_hash(prefix_sums(tokens), at, at + min_match))
 
 
+def _contaminated(block: Block, k: Tokens, min_match: int, threshold: float
+                  ) -> Iterator[tuple[int, int, list[tuple]]]:
+    """(document, item, tiles) of the pairs whose tiles cover ``threshold`` of the item."""
+    for d, i, starts in _pairs(block, k, min_match, threshold):
+        text = k.hash[k.first[d]:k.first[d] + k.size[d]]
+        tiles = tile(block.tokens[i], text, starts, min_match)
+        if sum(x[0] for x in tiles) >= threshold * len(block.tokens[i]) - 1e-9:
+            yield d, i, tiles
+
+
 def _finder(block: Block, min_match: int, threshold: float) -> Callable:
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
     names = [x.split()[0] for x in RESULT.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in slices(batches):
-            k = Tokens(t)
             ids, rows = t.id_list(), []
-            for d, i, starts in _pairs(block, k, min_match, threshold):
-                text = k.hash[k.first[d]:k.first[d] + k.size[d]]
-                tiles = tile(block.tokens[i], text, starts, min_match)
+            for d, i, tiles in _contaminated(block, Tokens(t), min_match, threshold):
                 matched, n = sum(x[0] for x in tiles), len(block.tokens[i])
-                if matched >= threshold * n - 1e-9:
-                    rows.append((ids[d], block.items[i], len(tiles), matched, n, matched / n))
+                rows.append((ids[d], block.items[i], len(tiles), matched, n, matched / n))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names)
     return run
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
-            threshold: float = THRESHOLD, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """One row per document and item whose tiles cover ``threshold`` of the item."""
+def _blocks(benchmark: DataFrame, min_match: int, block_tokens: int) -> Iterator[Block]:
+    """The benchmark in blocks of bounded size."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")) \
         .filter(F.col("text").isNotNull())
     # a token takes two bytes at least
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // (2 * block_tokens)))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    n = max(1, -(-total // (2 * block_tokens)))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    for b in range(n):
+        own = items.filter(part == b).orderBy("item_id", "text").collect()
+        yield Block.of([(r["item_id"], r["text"]) for r in own], min_match)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
+            threshold: float = THRESHOLD, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """One row per document and item whose tiles cover ``threshold`` of the item."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = None
-    for b in range(blocks):
-        own = items.filter(part == b).orderBy("item_id", "text").collect()  # a bounded block
-        block = Block.of([(r["item_id"], r["text"]) for r in own], min_match)
+    for block in _blocks(benchmark, min_match, block_tokens):
         one = rows.mapInArrow(_finder(block, min_match, threshold), RESULT)
         found = one if found is None else found.unionByName(one)
     return found
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
+          threshold: float = THRESHOLD, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """The rows of ``docs``, all columns, that no item contaminates."""
+    def keeper(block: Block) -> Callable:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keep = np.ones(b.num_rows, dtype=bool)
+                for row, _, t in batch_slices(b):
+                    for d, _, _ in _contaminated(block, Tokens(t), min_match, threshold):
+                        keep[row + d] = False
+                yield b.filter(pa.array(keep))
+        return run
+    for block in _blocks(benchmark, min_match, block_tokens):
+        docs = docs.mapInArrow(keeper(block), docs.schema)
+    return docs
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all items of the benchmark."""
     return matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

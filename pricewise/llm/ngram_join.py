@@ -317,6 +317,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     return linked.unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``, all columns, with one document of each component: that of the smallest
+    doc_id. Repeated rows stay once. Rows without doc_id can't be told apart and all stay."""
+    found = near_duplicates(docs.select("doc_id", "text"), words, percent)
+    drop = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id")) \
+        .filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by 4-word shingles at a Jaccard similarity of 0.85."""
     return near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=85)

@@ -19,7 +19,7 @@ not held out; without labels every score is 0.5; extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -215,22 +215,27 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ra
     return Model(idf, projection, v, y[some], neighbours)
 
 
-def _scorer(model: Model) -> Callable:
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rest = [n for n in b.schema.names if n not in ("doc_id", "text")]
-            scores = [model.score(term_counts(t)) for _, _, t in batch_slices(b, 1 << 20)]
-            all_scores = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *(b.column(n) for n in rest), pa.array(all_scores)],
-                ["doc_id", *rest, "score"])
-    return run
+def _batch_scores(model: Model, b: pa.RecordBatch) -> np.ndarray:
+    scores = [model.score(term_counts(t)) for _, _, t in batch_slices(b, 1 << 20)]
+    return np.concatenate(scores) if scores else np.zeros(0)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(_batch_scores(model, b))], ["doc_id", "score"])
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_scorer(model), "doc_id long, score double")
+    return rows.mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches ``threshold``."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_batch_scores(model, b) >= threshold))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
