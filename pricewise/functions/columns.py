@@ -37,17 +37,25 @@ def row_key(key_cols: Sequence[str]) -> Column:
     return F.concat_ws("-", *[F.col(k).cast("string") for k in key_cols])
 
 
-def hash_bucket(key_cols: Sequence[str], modulus: int, lane: int = 0) -> Column:
-    """Deterministic bucket in ``[0, modulus)`` from the md5 of the row key.
+#: Values of ``hash_value`` are below this.
+HASH_RANGE = 1 << 32
+
+
+def hash_value(key_cols: Sequence[str], lane: int = 0, seed: int | None = None) -> Column:
+    """Deterministic value in ``[0, 2**32)`` from the md5 of the row key, or of the seed
+    and the row key.
 
     ``lane`` picks which 8 hex digits of the digest are used (0..3), so that a
     split, a fold and a hold-out flag drawn from one key are independent. Pure
-    per-row function: no shuffle, same answer on every executor and in SQL.
+    per-row function: no shuffle, same answer on every executor, on any number of
+    cores, and in SQL.
     """
     if not 0 <= lane <= 3:
         raise ValueError("lane must be in 0..3")
-    digits = F.substring(F.md5(row_key(key_cols)), 1 + 8 * lane, 8)
-    return (F.conv(digits, 16, 10).cast("long") % F.lit(modulus)).cast("long")
+    key = row_key(key_cols)
+    if seed is not None:
+        key = F.concat_ws(":", F.lit(str(seed)), key)
+    return F.conv(F.substring(F.md5(key), 1 + 8 * lane, 8), 16, 10).cast("long")
 
 
 def epoch_seconds(col: str | Column) -> Column:

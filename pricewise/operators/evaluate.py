@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -18,10 +18,15 @@ from .features import FEATURES, FeatureSpec
 
 
 def metric_columns(label: str, prediction: str, suffix: str = "") -> list:
+    """R² and RMSE aggregates. With a constant label R² is minus infinity, or NaN where the
+    prediction is exact, as RegressionEvaluator has it (a division by zero)."""
     err2 = F.pow(F.col(label) - F.col(prediction), 2)
     mse = F.avg(err2)
+    spread = F.var_pop(F.col(label))
+    flat = F.when(mse > 0, F.lit(float("-inf"))).when(mse == 0, F.lit(float("nan")))
     return [
-        (F.lit(1.0) - mse / F.var_pop(F.col(label))).alias(f"r2{suffix}"),
+        F.when(spread == 0, flat).otherwise(F.lit(1.0) - F.try_divide(mse, spread))
+        .alias(f"r2{suffix}"),
         F.sqrt(mse).alias(f"rmse{suffix}"),
     ]
 
@@ -56,27 +61,26 @@ IMPORTANCE_SCHEMA = StructType([StructField("feature", StringType(), False),
                                 StructField("importance", DoubleType(), False)])
 
 
-def feature_importances(spark: SparkSession, model: PipelineModel, spec: FeatureSpec,
-                        encoded_schema=None) -> DataFrame:
+def feature_importances(model: PipelineModel, spec: FeatureSpec, scored: DataFrame) -> DataFrame:
     """(feature, importance) of the last stage, named slot by slot, sorted high to low.
 
     Slot order is fixed by the assembler: categorical slots (flags, indexed strings,
-    int categoricals) then scaled numerics. When the encoded schema is given its
-    ``ml_attr`` slot count is checked against the names.
+    int categoricals) then scaled numerics. The slot count that ``scored`` (a frame the
+    model has transformed) carries in its ``ml_attr`` metadata is checked against the names.
     """
     learner = model.stages[-1]
     if not hasattr(learner, "featureImportances"):
         raise TypeError(f"{type(learner).__name__} has no feature importances")
     values = learner.featureImportances.toArray().tolist()
     names = list(spec.slot_names)
-    if encoded_schema is not None:
-        n_attrs = encoded_schema[FEATURES].metadata.get("ml_attr", {}).get("num_attrs")
-        if n_attrs is not None and n_attrs != len(names):
-            raise ValueError(f"features has {n_attrs} slots, spec names {len(names)}")
+    n_attrs = scored.schema[FEATURES].metadata.get("ml_attr", {}).get("num_attrs")
+    if n_attrs is not None and n_attrs != len(names):
+        raise ValueError(f"features has {n_attrs} slots, spec names {len(names)}")
     if len(values) != len(names):
         raise ValueError(f"{len(values)} importances for {len(names)} named slots")
     # Bounded by the number of features, not by data size.
-    df = spark.createDataFrame(list(zip(names, [float(v) for v in values])), IMPORTANCE_SCHEMA)
+    df = scored.sparkSession.createDataFrame(list(zip(names, [float(v) for v in values])),
+                                             IMPORTANCE_SCHEMA)
     return df.orderBy(F.desc("importance"), F.asc("feature"))
 
 

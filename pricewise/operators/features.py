@@ -4,8 +4,10 @@ numeric vector + MinMaxScaler, final concatenation.
 All stages are Spark ML built-ins. Fits are distributed aggregates: label counts
 (partial aggregation per task, so a hot label costs one row per task), bounded
 distinct-value sets per slot, and a min/max summary. What reaches the driver is
-bounded: label lists are checked against a limit with an HyperLogLog sketch
-*before* StringIndexer collects them."""
+bounded where a limit holds (a tree's maxBins, or the spec's ``max_labels``): label
+lists are checked against it with a HyperLogLog sketch *before* StringIndexer collects
+them. Without a limit (factorization machines) a label list is as long as the column's
+distinct values, as in any StringIndexer."""
 
 from __future__ import annotations
 
@@ -48,7 +50,7 @@ class FeatureSpec:
     numeric: tuple[str, ...] = ()
     max_categories: int = 20
     handle_invalid: str = "error"      # error | keep | skip
-    max_labels: int = 10_000           # driver-side bound for any one label list
+    max_labels: int | None = None      # refuse label lists longer than this (opt-in)
 
     def __post_init__(self):
         if self.handle_invalid not in ("error", "keep", "skip"):
@@ -80,8 +82,8 @@ def encoder_stages(spec: FeatureSpec) -> list:
         stages.append(StringIndexer(inputCols=list(spec.categorical), outputCols=list(spec.indexed),
                                     handleInvalid=spec.handle_invalid,
                                     stringOrderType="frequencyDesc"))
-    vec_invalid = "error" if spec.handle_invalid == "error" else (
-        "skip" if spec.handle_invalid == "skip" else "keep")
+    # "keep" gives unseen labels an index; a missing number has none, so it stays an error
+    vec_invalid = "skip" if spec.handle_invalid == "skip" else "error"
     parts = []
     if spec.cat_inputs:
         stages.append(VectorAssembler(inputCols=list(spec.cat_inputs), outputCol=CAT_VEC,
@@ -99,10 +101,10 @@ def encoder_stages(spec: FeatureSpec) -> list:
     return stages
 
 
-def check_cardinality(df: DataFrame, cols: Sequence[str], limit: int) -> dict[str, int]:
+def check_cardinality(df: DataFrame, cols: Sequence[str], limit: int | None) -> dict[str, int]:
     """One aggregate with an HLL sketch per column (partial aggregation, no row
     shuffle). Raises before any label list is collected to the driver."""
-    if not cols:
+    if not cols or limit is None:
         return {}
     row = df.agg(*[F.approx_count_distinct(c, SKETCH_RSD).alias(c) for c in cols]).first()
     est = {c: int(row[c]) for c in cols}
@@ -114,8 +116,10 @@ def check_cardinality(df: DataFrame, cols: Sequence[str], limit: int) -> dict[st
     return est
 
 
-def label_limit_of(spec: FeatureSpec, label_limit: int | None = None) -> int:
-    return min(label_limit or spec.max_labels, spec.max_labels)
+def label_limit_of(spec: FeatureSpec, label_limit: int | None = None) -> int | None:
+    """The smaller of the learner's limit (maxBins) and the caller's; None: no limit."""
+    limits = [n for n in (label_limit, spec.max_labels) if n is not None]
+    return min(limits) if limits else None
 
 
 def fit_encoders(train: DataFrame, spec: FeatureSpec, label_limit: int | None = None,
@@ -126,7 +130,7 @@ def fit_encoders(train: DataFrame, spec: FeatureSpec, label_limit: int | None =
     if precheck:
         check_cardinality(train, spec.categorical, limit)
     model = Pipeline(stages=encoder_stages(spec)).fit(train)
-    if spec.categorical:
+    if spec.categorical and limit is not None:
         for col, labels in zip(spec.categorical, model.stages[0].labelsArray):
             if len(labels) > limit:
                 raise CardinalityError(f"column {col!r} has {len(labels)} labels > {limit}")

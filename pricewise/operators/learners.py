@@ -42,27 +42,27 @@ DEEP_TREE_MEMORY_MB = 1024
 
 
 def execution_params(est, param_map: dict | None = None) -> dict:
-    """``param_map`` plus execution-only settings that do not change the model.
+    """``param_map`` plus execution-only settings that do not change the model. A setting
+    that the estimator or the map already has is left alone.
 
     Deep single trees and forests keep node ids in a cached, periodically
     checkpointed RDD instead of shipping the growing trees to every task at each
     level (much less work past depth ~10, and a lineage cut when a checkpoint
     dir is set). Boosting re-grows trees every iteration, where the cache costs
     more than it saves, so it stays off there; deep boosted trees get a larger
-    per-task histogram budget instead (fewer node groups, so fewer passes: GBT
-    depth 12 x 5 at sf0.1 22.5 s -> 18.5 s; no gain measured for a depth-16
-    forest, which keeps the default). Executors need that headroom per task."""
+    per-task histogram budget instead (fewer node groups, so fewer passes).
+    Executors need that headroom per task."""
     pm = dict(param_map or {})
     if not est.hasParam("cacheNodeIds"):
         return pm
     depth_p = est.getParam("maxDepth")
-    depth = pm.get(depth_p, est.getOrDefault(depth_p))
-    deep = depth >= DEEP_TREE
-    if isinstance(est, GBTRegressor):
-        if deep and est.getParam("maxMemoryInMB") not in pm:
-            pm[est.getParam("maxMemoryInMB")] = DEEP_TREE_MEMORY_MB
-    else:
-        pm[est.getParam("cacheNodeIds")] = deep
+    if pm.get(depth_p, est.getOrDefault(depth_p)) < DEEP_TREE:
+        return pm
+    name, value = (("maxMemoryInMB", DEEP_TREE_MEMORY_MB) if isinstance(est, GBTRegressor)
+                   else ("cacheNodeIds", True))
+    p = est.getParam(name)
+    if p not in pm and not est.isSet(p):
+        pm[p] = value
     return pm
 
 
@@ -78,10 +78,11 @@ def max_bins_of(est, param_map: dict | None = None) -> int | None:
 
 @dataclass(frozen=True)
 class Preset:
-    """A learner with constructor values and a grid, as in one reference file."""
+    """A learner with constructor values, a grid and a feature set, as in one reference file."""
     kind: str
     params: dict = field(default_factory=dict)
     grid: dict = field(default_factory=dict)
+    features: str = "base"   # base | base_last (one categorical moved last) | fewer | full
 
 
 # The learners, constructor arguments and grids the reference tunes.
@@ -91,9 +92,11 @@ PRESETS = {
     "rf": Preset("rf", {},
                  {"maxDepth": [13, 16], "minInfoGain": [0.0], "maxBins": [64]}),
     "gbt_holdout": Preset("gbt", {},
-                          {"maxDepth": [12], "minInfoGain": [0.0], "maxBins": [64], "maxIter": [5]}),
+                          {"maxDepth": [12], "minInfoGain": [0.0], "maxBins": [64], "maxIter": [5]},
+                          "base_last"),
     "gbt_cv": Preset("gbt", {},
-                     {"maxDepth": [8, 12], "minInfoGain": [0.0], "maxBins": [64], "maxIter": [5]}),
-    "gbt_plain": Preset("gbt", {"maxBins": 64}, {}),
-    "fm": Preset("fm", {}, {"stepSize": [1.0, 0.5]}),
+                     {"maxDepth": [8, 12], "minInfoGain": [0.0], "maxBins": [64], "maxIter": [5]},
+                     "base_last"),
+    "gbt_plain": Preset("gbt", {"maxBins": 64}, {}, "full"),
+    "fm": Preset("fm", {}, {"stepSize": [1.0, 0.5]}, "fewer"),
 }

@@ -1,8 +1,8 @@
 """Row splitting (D1-D3) and row counts (A1, A2).
 
-The default split is a pure function of the row key (md5 bucket), so it needs no
-shuffle, is identical on every run and executor, and can be written in SQL. The
-random Bernoulli split of the reference is kept as an option."""
+Every split is a pure function of the row key (md5), so it needs no shuffle, is
+identical on every run, executor and number of cores, and can be written in SQL.
+The key must be the row's own: rows that share one go to the same side."""
 
 from __future__ import annotations
 
@@ -11,56 +11,52 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import hash_bucket
+from ..functions.columns import HASH_RANGE, hash_value
 
 SPLIT_COL = "split"
 FOLD_COL = "fold"
 HOLDOUT_COL = "is_validation"
-# Resolution of ratios: buckets are percent points.
-BUCKETS = 100
 
 # Independent digest lanes per use.
 SPLIT_LANE = 0
 FOLD_LANE = 1
 HOLDOUT_LANE = 2
 
+#: Partitions that training rows are spread over, and rows for which one more is added.
+#: Both depend on the data only: learners that sample rows by partition give the same
+#: model on any cluster.
+SPREAD_PARTITIONS = 32
+ROWS_PER_PARTITION = 1_000_000
 
-def _cut(ratio: float) -> int:
+
+def hash_cut(ratio: float) -> int:
+    """Hash values below it make up ``ratio`` of the rows."""
     if not 0.0 < ratio < 1.0:
         raise ValueError(f"ratio must be in (0, 1), got {ratio}")
-    cut = round(ratio * BUCKETS)
-    if abs(cut - ratio * BUCKETS) > 1e-9:
-        raise ValueError(f"ratio {ratio} is not a whole percent")
-    return cut
+    return round(ratio * HASH_RANGE)
 
 
 def with_hash_split(df: DataFrame, key_cols: Sequence[str], train_ratio: float = 0.7,
                     col: str = SPLIT_COL) -> DataFrame:
-    """Add ``split`` = 'train' | 'test' from the key's md5 bucket."""
-    cut = _cut(train_ratio)
-    bucket = hash_bucket(key_cols, BUCKETS, SPLIT_LANE)
-    return df.withColumn(col, F.when(bucket < cut, F.lit("train")).otherwise(F.lit("test")))
+    """Add ``split`` = 'train' | 'test' from the key's hash."""
+    first = hash_value(key_cols, SPLIT_LANE) < hash_cut(train_ratio)
+    return df.withColumn(col, F.when(first, F.lit("train")).otherwise(F.lit("test")))
 
 
 def hash_split(df: DataFrame, key_cols: Sequence[str], train_ratio: float = 0.7
                ) -> tuple[DataFrame, DataFrame]:
     """(train, test) by key hash. Both sides are filters over the same plan."""
-    cut = _cut(train_ratio)
-    bucket = hash_bucket(key_cols, BUCKETS, SPLIT_LANE)
-    return df.filter(bucket < cut), df.filter(bucket >= cut)
-
-
-def random_split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 42
-                 ) -> list[DataFrame]:
-    """Bernoulli split as in the reference, but seeded."""
-    return df.randomSplit(list(weights), seed)
+    value, cut = hash_value(key_cols, SPLIT_LANE), hash_cut(train_ratio)
+    return df.filter(value < cut), df.filter(value >= cut)
 
 
-def with_random_split(df: DataFrame, train_ratio: float = 0.7, seed: int = 42,
-                      col: str = SPLIT_COL) -> DataFrame:
-    """Per-row seeded uniform draw, labelled train/test (one pass, no union)."""
-    return df.withColumn(col, F.when(F.rand(seed) < train_ratio, F.lit("train"))
-                         .otherwise(F.lit("test")))
+def with_random_split(df: DataFrame, key_cols: Sequence[str], train_ratio: float = 0.7,
+                      seed: int = 42, col: str = SPLIT_COL) -> DataFrame:
+    """One random draw per row (D1): another seed gives another, independent split. Drawn
+    from the seed and the row key, so the order and the partitions of the rows don't
+    matter."""
+    draw = hash_value(key_cols, SPLIT_LANE, seed) < hash_cut(train_ratio)
+    return df.withColumn(col, F.when(draw, F.lit("train")).otherwise(F.lit("test")))
 
 
 def with_folds(df: DataFrame, key_cols: Sequence[str], num_folds: int = 3,
@@ -68,14 +64,13 @@ def with_folds(df: DataFrame, key_cols: Sequence[str], num_folds: int = 3,
     """Fold id in ``[0, num_folds)`` from an independent digest lane."""
     if num_folds < 2:
         raise ValueError("num_folds must be >= 2")
-    return df.withColumn(col, hash_bucket(key_cols, num_folds, FOLD_LANE).cast("int"))
+    return df.withColumn(col, (hash_value(key_cols, FOLD_LANE) % num_folds).cast("int"))
 
 
 def with_holdout_flag(df: DataFrame, key_cols: Sequence[str], train_ratio: float = 0.8,
                       col: str = HOLDOUT_COL) -> DataFrame:
     """Boolean validation flag for a hold-out search (D3): true for the ``1 - ratio`` part."""
-    cut = _cut(train_ratio)
-    return df.withColumn(col, hash_bucket(key_cols, BUCKETS, HOLDOUT_LANE) >= cut)
+    return df.withColumn(col, hash_value(key_cols, HOLDOUT_LANE) >= hash_cut(train_ratio))
 
 
 def split_counts(df: DataFrame, col: str = SPLIT_COL) -> DataFrame:
@@ -88,18 +83,15 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def spread(df: DataFrame, key_cols: Sequence[str], min_partitions: int) -> DataFrame:
-    """Spread rows over ``min_partitions`` when the scan yields fewer (small
-    single-file inputs); a large scan is left as it is, so no full shuffle is
-    added at scale. Round-robin rather than hashing the key: a key value that
-    repeats (one hot key holding a third of the rows) cannot pile up in one task.
-    Spark sorts before a round-robin exchange, so a retried task gets the same
-    rows; rows are then sorted by key inside each partition so the order seen by
-    sampling learners does not depend on shuffle fetch order."""
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as is
-        return df
-    if n >= min_partitions:
-        return df
-    return df.repartition(min_partitions).sortWithinPartitions(*key_cols)
+def spread_partitions(n_rows: int) -> int:
+    """Partitions for ``n_rows`` training rows."""
+    return max(SPREAD_PARTITIONS, -(-n_rows // ROWS_PER_PARTITION))
+
+
+def spread(df: DataFrame, key_cols: Sequence[str], partitions: int) -> DataFrame:
+    """Training rows dealt by the hash of the row key into ``partitions`` partitions, in
+    order of that hash. Always applied, whatever the scan's partitions and the cluster's
+    cores are: which rows a learner samples, and in which order it reads them, then depends
+    on the data and ``partitions`` only. Apply it to pruned rows."""
+    order = F.xxhash64(*key_cols)
+    return df.repartition(partitions, *key_cols).sortWithinPartitions(order, *key_cols)

@@ -4,8 +4,8 @@ hold-out search on a hash validation flag, plain fit, best-map choice.
 Per fold the encoders are fitted once on that fold's training rows (exactly what
 refitting the whole pipeline per map gives, since no grid value touches an
 encoder), the encoded rows are persisted once and shared by every map, maps
-are fitted in a bounded thread pool, and all maps of a fold are scored in one
-aggregate pass over the validation rows."""
+are fitted in a bounded thread pool, and the maps of a fold are scored together:
+one aggregate pass over the validation rows for each group of models of bounded size."""
 
 from __future__ import annotations
 
@@ -14,12 +14,13 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, StringType, StructField,
+                               StructType)
 
 from .evaluate import multi_metrics
 from .features import (FEATURES, FeatureSpec, check_bins, check_cardinality,
@@ -28,6 +29,9 @@ from .learners import execution_params, max_bins_of
 from .splits import FOLD_COL, HOLDOUT_COL, with_folds, with_holdout_flag
 
 HIGHER_IS_BETTER = {"r2": True, "rmse": False}
+#: Models are shipped to the executors to score with: at most so many tree nodes (or
+#: coefficients) in one pass.
+SCORED_NODES = 2_000_000
 
 
 def build_grid(est, grid: dict[str, Sequence], dedupe: bool = True) -> list[dict]:
@@ -60,13 +64,32 @@ def grid_names(param_maps: Sequence[dict]) -> list[str]:
     return names
 
 
+def param_fields(param_maps: Sequence[dict]) -> list[StructField]:
+    """A column for each parameter: double for numbers, else boolean or text."""
+    out = []
+    for n in grid_names(param_maps):
+        kinds = {type(v) for v in (_value(pm, n) for pm in param_maps) if v is not None}
+        if kinds <= {int, float}:
+            kind = DoubleType()
+        else:
+            kind = BooleanType() if kinds == {bool} else StringType()
+        out.append(StructField(n, kind, True))
+    return out
+
+
+def param_values(pm: dict, fields: Sequence[StructField]) -> list:
+    """Values of one map for ``fields``."""
+    cast = {DoubleType(): float, StringType(): str, BooleanType(): bool}
+    values = [_value(pm, f.name) for f in fields]
+    return [None if v is None else cast[f.dataType](v) for f, v in zip(fields, values)]
+
+
 def grid_table(spark: SparkSession, param_maps: Sequence[dict]) -> DataFrame:
-    """One row per map: ``map_id`` then one double column per parameter."""
-    names = grid_names(param_maps)
-    schema = StructType([StructField("map_id", IntegerType(), False)] +
-                        [StructField(n, DoubleType(), True) for n in names])
-    rows = [[i] + [_as_double(_value(pm, n)) for n in names] for i, pm in enumerate(param_maps)]
-    return spark.createDataFrame(rows, schema)
+    """One row per map: ``map_id`` then one column per parameter."""
+    fields = param_fields(param_maps)
+    schema = StructType([StructField("map_id", IntegerType(), False)] + fields)
+    return spark.createDataFrame([[i] + param_values(pm, fields) for i, pm in enumerate(param_maps)],
+                                 schema)
 
 
 def _value(pm: dict, name: str):
@@ -76,10 +99,6 @@ def _value(pm: dict, name: str):
     return None
 
 
-def _as_double(v):
-    return None if v is None else float(v)
-
-
 @dataclass
 class SearchResult:
     metrics: DataFrame               # map_id, params..., metric columns
@@ -107,8 +126,10 @@ def pool_map(fn, items: Sequence, parallelism: int) -> list:
     items = list(items)
     if len(items) <= 1 or parallelism <= 1:
         return [fn(x) for x in items]
+    # job group, scheduler pool and tags of the calling thread hold in the pool's threads
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
-        return list(pool.map(fn, items))
+        return [f.result() for f in [pool.submit(inherit(fn), x) for x in items]]
 
 
 def _fit_candidates(cands: Sequence[tuple], data: DataFrame, parallelism: int) -> list:
@@ -124,6 +145,8 @@ class _Encoded:
     """Encoders fitted on some rows plus those rows encoded and persisted."""
 
     def __init__(self, fit_df: DataFrame, spec: FeatureSpec, bins: int | None, precheck: bool):
+        if fit_df.isEmpty():
+            raise ValueError("training part is empty: no rows to fit on")
         self.model = fit_encoders(fit_df, spec, label_limit=bins, precheck=precheck)
         encoded = self.model.transform(fit_df).select(FEATURES, spec.label)
         if bins is not None:
@@ -135,20 +158,43 @@ class _Encoded:
 
 
 def _score_maps(enc: PipelineModel, models: list, eval_df: DataFrame, label: str) -> list[dict]:
-    """Encode ``eval_df`` once, add one prediction column per model, and compute
-    every model's R²/RMSE in a single aggregate pass."""
-    scored = enc.transform(eval_df).select(FEATURES, label)
-    preds = []
-    for i, m in enumerate(models):
-        col = f"_pred_{i}"
-        scored = m.copy().setPredictionCol(col).transform(scored)
-        preds.append(col)
-    out = multi_metrics(scored, label, preds)
+    """Every model's R²/RMSE on ``eval_df``: one aggregate pass for each group of models
+    of bounded size, with one prediction column per model."""
+    out: list[dict] = []
+    for group in model_groups(models, SCORED_NODES):
+        scored = enc.transform(eval_df).select(FEATURES, label)
+        preds = []
+        for i, m in enumerate(group):
+            preds.append(f"_pred_{i}")
+            scored = m.copy().setPredictionCol(preds[-1]).transform(scored)
+        out += multi_metrics(scored, label, preds)
     if out and out[0]["n"] == 0:
         raise ValueError("validation part is empty: no rows to score")
     return out
 
 
+def model_size(model) -> int:
+    """Tree nodes of a tree, forest or boosted model; coefficients of any other."""
+    for name in ("totalNumNodes", "numNodes"):
+        if hasattr(model, name):
+            return int(getattr(model, name))
+    return int(model.numFeatures)
+
+
+def model_groups(models: Sequence, limit: int) -> list[list]:
+    """``models`` in order, in groups of at most ``limit`` nodes (or one larger model)."""
+    out: list[list] = []
+    size = 0
+    for m in models:
+        n = model_size(m)
+        if not out or size + n > limit:
+            out.append([])
+            size = 0
+        out[-1].append(m)
+        size += n
+    return out
+
+
 def _fit_and_score(fit_df, eval_df, spec, cands, bins, parallelism) -> list[dict]:
     enc = _Encoded(fit_df, spec, bins, precheck=False)
     try:
@@ -159,12 +205,12 @@ def _fit_and_score(fit_df, eval_df, spec, cands, bins, parallelism) -> list[dict
 
 
 def _best(values: Sequence[float], metric: str) -> int:
+    """Index of the best value; the first of equals. Undefined values can't win."""
     sign = 1.0 if HIGHER_IS_BETTER[metric] else -1.0
-    best, best_v = 0, -math.inf
-    for i, v in enumerate(values):
-        if v is not None and not math.isnan(v) and sign * v > best_v:
-            best, best_v = i, sign * v
-    return best
+    known = [(sign * v, -i) for i, v in enumerate(values) if v is not None and not math.isnan(v)]
+    if not known:
+        raise ValueError(f"{metric} is undefined for every parameter map")
+    return -max(known)[1]
 
 
 def plain_fit(train: DataFrame, spec: FeatureSpec, est, param_map: dict | None = None
@@ -189,34 +235,27 @@ def _search(spark, train, spec, groups: Groups, tasks, metric, parallelism, tabl
     be searched over the same folds.
 
     Per task the encoders are fitted once and shared by every (learner, map)
-    candidate, and all candidates are scored in one pass. The encoders for the
-    final refits are fitted on all of ``train`` while the tasks run, since they
-    do not depend on which map wins; every group's best map is then refitted on
-    those shared encoded rows."""
+    candidate, and the candidates are scored together. At most ``parallelism`` jobs run at
+    once, over all running tasks, and only running tasks hold their encoded rows. After
+    the last one ``train`` is encoded as a whole, and every group's best map is refitted
+    on those shared rows."""
     groups = {g: (est, list(maps)) for g, (est, maps) in groups.items()}
     cands = [(est, pm) for est, maps in groups.values() for pm in maps]
     tree_bins = [b for est, maps in groups.values() for b in [_tree_bins(est, maps)]
                  if b is not None]
     bins = min(tree_bins) if tree_bins else None
     check_cardinality(train, spec.categorical, label_limit_of(spec, bins))
-    inner = max(1, math.ceil(parallelism / max(1, len(tasks))))
-    jobs = [("full", None)] + [("task", t) for t in tasks]
-
-    def run(job):
-        kind, t = job
-        if kind == "full":
-            return _Encoded(train, spec, bins, precheck=False)
-        return _fit_and_score(t[0], t[1], spec, cands, bins, inner)
-
-    results = pool_map(run, jobs, parallelism)
-    full, per_task = results[0], results[1:]
+    at_once = max(1, min(parallelism, len(tasks)))
+    inner = max(1, parallelism // at_once)
+    per_task = pool_map(lambda t: _fit_and_score(t[0], t[1], spec, cands, bins, inner), tasks, at_once)
+    chosen, offset = [], 0
+    for name, (est, maps) in groups.items():
+        part = [pt[offset:offset + len(maps)] for pt in per_task]
+        offset += len(maps)
+        per_map = summarize(part, len(maps))
+        chosen.append((name, est, maps, _best([m["score"] for m in per_map], metric), per_map))
+    full = _Encoded(train, spec, bins, precheck=False)
     try:
-        chosen, offset = [], 0
-        for name, (est, maps) in groups.items():
-            part = [pt[offset:offset + len(maps)] for pt in per_task]
-            offset += len(maps)
-            per_map = summarize(part, len(maps))
-            chosen.append((name, est, maps, _best([m["score"] for m in per_map], metric), per_map))
         learners = pool_map(lambda c: c[1].fit(full.rows, execution_params(c[1], c[2][c[3]])),
                             chosen, parallelism)
     finally:
@@ -294,8 +333,8 @@ def holdout_search(spark: SparkSession, train: DataFrame, spec: FeatureSpec, est
 
 
 def score_results(results: dict[str, SearchResult], df: DataFrame, label: str) -> dict[str, dict]:
-    """Test metrics of every refitted model of one multi search in ONE pass: the
-    shared encoders run once, each learner adds its own prediction column."""
+    """Test metrics of every refitted model of one multi search: the shared encoders run
+    once for each group of models, each learner adds its own prediction column."""
     encs = {id(r.encoders) for r in results.values()}
     if len(encs) != 1 or None in [r.encoders for r in results.values()]:
         raise ValueError("score_results needs models refitted on one shared encoding")
@@ -305,11 +344,10 @@ def score_results(results: dict[str, SearchResult], df: DataFrame, label: str) -
 
 
 def _metrics_table(spark: SparkSession, param_maps, values, value_names) -> DataFrame:
-    names = grid_names(param_maps)
-    schema = StructType([StructField("map_id", IntegerType(), False)] +
-                        [StructField(n, DoubleType(), True) for n in names] +
+    fields = param_fields(param_maps)
+    schema = StructType([StructField("map_id", IntegerType(), False)] + fields +
                         [StructField(v, DoubleType(), True) for v in value_names])
-    rows = [[i] + [_as_double(_value(pm, n)) for n in names] + [float(x) for x in vals]
+    rows = [[i] + param_values(pm, fields) + [float(x) for x in vals]
             for i, (pm, vals) in enumerate(zip(param_maps, values))]
     return spark.createDataFrame(rows, schema)
 

@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 from ..functions.columns import epoch_seconds
 from ..operators.features import FeatureSpec
 from ..operators.prepare import PrepareSpec, prepare
-from ..operators.splits import spread
-from ..session import default_parallelism
+from ..operators.splits import hash_split, spread, spread_partitions
 from ..sources.files import read_table
 
-KEY = ("l_orderkey", "l_linenumber")
+# (l_orderkey, l_linenumber) repeats in these tables; with these columns a row is unique.
+KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ship_epoch")
 LABEL = "price"
 
 # Raw, reference-shaped columns derived from lineitem.
-RAW_COLUMNS = ("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "line_label",
+RAW_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "line_label",
                "is_discounted", "ship_date", "l_quantity", "l_extendedprice", "l_discount",
                "l_tax", "ship_epoch", "price")
 
@@ -47,6 +47,23 @@ BASE_SPEC = FeatureSpec(
     numeric=("l_quantity", "l_extendedprice", "l_discount", "l_tax", "ship_epoch"),
 )
 
+# The same with one categorical moved to the end of the categorical vector (the boosted
+# searches), and without it (the factorization machines).
+BASE_LAST_SPEC = FeatureSpec(
+    label=LABEL,
+    flags=("is_discounted",),
+    categorical=("l_linestatus", "line_label", "l_returnflag"),
+    numeric=("l_quantity", "l_extendedprice", "l_discount", "l_tax", "ship_epoch"),
+)
+FEWER_SPEC = FeatureSpec(
+    label=LABEL,
+    flags=("is_discounted",),
+    categorical=("l_linestatus", "line_label"),
+    numeric=("l_quantity", "l_extendedprice", "l_discount", "l_tax", "ship_epoch"),
+)
+# Feature sets by the name that a learner preset gives.
+SPECS = {"base": BASE_SPEC, "base_last": BASE_LAST_SPEC, "fewer": FEWER_SPEC, "full": FULL_SPEC}
+
 # Two small categoricals only: a deep-enough tree predicts the training mean of
 # each (returnflag, linestatus) cell, which makes the learners checkable in SQL.
 CELL_SPEC = FeatureSpec(label=LABEL, categorical=("l_returnflag", "l_linestatus"))
@@ -56,22 +73,24 @@ CELL_SPEC = FeatureSpec(label=LABEL, categorical=("l_returnflag", "l_linestatus"
 # best single split is an exact SQL search.
 STUMP_SPEC = FeatureSpec(label=LABEL, numeric=("l_quantity",))
 
+# The same with a feature that the label depends on (11 distinct values): searches over it
+# have different, exact answers for every learner.
+SEARCH_SPEC = FeatureSpec(label=LABEL, numeric=("l_discount",))
+
+# Three numerics with few distinct values: the split search of a small tree over all of
+# them, and its importances, are exact SQL searches.
+SMALL_SPEC = FeatureSpec(label=LABEL, numeric=("l_quantity", "l_discount", "l_tax"))
+
 
-def raw_frame(spark: SparkSession, sf_dir: str, spread_to: int | None = None) -> DataFrame:
-    """Reference-shaped rows. With ``spread_to`` an under-partitioned scan (a
-    single-row-group file is one task) is spread before the per-row work, so
-    hashing, date formatting and scoring run on every core; a scan with enough
-    splits is left untouched."""
-    scan = read_table(spark, sf_dir, "lineitem")
-    if spread_to:
-        scan = spread(scan, KEY, spread_to)
-    return shape(scan)
+def raw_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference-shaped rows."""
+    return shape(read_table(spark, sf_dir, "lineitem"))
 
 
 def shape(li: DataFrame) -> DataFrame:
     """lineitem rows in the reference's raw shape (works on batch and stream frames)."""
     return li.select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
         F.col("l_linenumber").cast("string").alias("line_label"),
         (F.col("l_discount") > F.lit(0.05)).alias("is_discounted"),
         F.date_format("l_shipdate", "M/d/yyyy").alias("ship_date"),
@@ -82,23 +101,47 @@ def shape(li: DataFrame) -> DataFrame:
     )
 
 
-def prepared_frame(spark: SparkSession, sf_dir: str, spread_to: int | None = None) -> DataFrame:
-    return prepare(raw_frame(spark, sf_dir, spread_to), PREPARE)
+def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare(raw_frame(spark, sf_dir), PREPARE)
 
 
 def prepared_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1000
                     ) -> DataFrame:
-    """The same prepared rows, read as a file stream of lineitem parquet files; a
-    backlog is cut into micro-batches of at most ``max_files_per_trigger`` files,
-    each committed to the sink's checkpoint on its own."""
-    schema = read_table(spark, sf_dir, "lineitem").schema
-    stream = (spark.readStream.schema(schema)
-              .option("pathGlobFilter", "lineitem*.parquet")
+    """The same prepared rows as a file stream of the lineitem table: its path is one file or
+    a folder of part files. A backlog is cut into micro-batches of at most
+    ``max_files_per_trigger`` files, each committed to the sink's checkpoint on its own."""
+    table = read_table(spark, sf_dir, "lineitem")
+    stream = (spark.readStream.schema(table.schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(sf_dir))
+              # a pattern that only the table's own path matches: a plain path may not be a file
+              .parquet(f"{sf_dir.rstrip('/')}/lineitem.parque[t]"))
     return prepare(shape(stream), PREPARE)
 
 
-def training_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared rows spread over at least the cluster's default parallelism."""
-    return prepared_frame(spark, sf_dir, default_parallelism(spark))
+def pruned(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The row key, the spec's inputs and the label: all that a fit or a score reads."""
+    extra = [c for c in (*spec.input_columns, spec.label) if c not in KEY]
+    return df.select(*KEY, *dict.fromkeys(extra))
+
+
+def train_and_test(spark: SparkSession, sf_dir: str, spec: FeatureSpec, ratio: float = 0.7
+                   ) -> tuple[DataFrame, DataFrame]:
+    """(train, test) rows by key hash, with the columns that ``spec`` needs. Training rows
+    are spread by the hash of their key over partitions whose number depends on the table
+    only; test rows are scored where they are."""
+    train, test = hash_split(pruned(prepared_frame(spark, sf_dir), spec), KEY, ratio)
+    n = read_table(spark, sf_dir, "lineitem").count()  # from the files' footers
+    return spread(train, KEY, spread_partitions(n)), test
+
+
+def two_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with the order's date and priority: two date columns and two flags go through
+    one preparation."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "M/d/yyyy").alias("order_date"),
+        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("is_urgent"))
+    rows = raw_frame(spark, sf_dir).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    spec = PrepareSpec(columns=(*KEY, "is_discounted", "is_urgent", "order_date", "ship_date"),
+                       flags=("is_discounted", "is_urgent"),
+                       dates={"order_date": "order", "ship_date": "ship"})
+    return prepare(rows, spec).drop("order_date", "ship_date")

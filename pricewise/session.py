@@ -3,7 +3,9 @@ checkpoint/scratch location from the session's own configuration."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -35,45 +37,63 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, allow_local_default=True)
+    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str | None:
-    """Return the shared checkpoint directory and make sure the SparkContext uses it.
+def _is_single_jvm(master: str) -> bool:
+    """``local`` and ``local[...]``: executors are threads of the driver. ``local-cluster``
+    has processes of its own."""
+    return master == "local" or master.startswith("local[")
 
-    Order: the context's current checkpoint dir, then ``spark.checkpoint.dir`` from
-    the session. Only a local-mode session (tests) may fall back to a fresh temp
-    folder; on a cluster a machine-local folder would not survive executor loss.
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint directory, set on the SparkContext.
+
+    It is the session's: the context's current one, or ``spark.checkpoint.dir``. Only where
+    neither is set and the whole session is one JVM (tests, bench) a temporary folder is
+    made, and removed when Python ends; on a cluster a machine-local folder would not
+    survive executor loss.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no context; only the session setting is available
         return spark.conf.get(CHECKPOINT_CONF, None)
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not conf and allow_local_default and sc.master.startswith("local"):
+    conf = spark.conf.get(CHECKPOINT_CONF, None)
+    if not conf and _is_single_jvm(sc.master):
         conf = tempfile.mkdtemp(prefix="pricewise-ckpt-")
+        atexit.register(shutil.rmtree, conf, ignore_errors=True)
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
     return None
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """Cores the cluster offers (falls back to the shuffle partition setting)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+_scratch: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for sinks and round trips."""
-    base = ensure_checkpoint_dir(spark, allow_local_default=True)
+    """A fresh path under the shared checkpoint folder for sinks and round trips; see
+    ``remove_scratch``."""
+    base = ensure_checkpoint_dir(spark)
     if not base:
         raise RuntimeError(
             f"no shared folder: set {CHECKPOINT_CONF} on the session before writing tables")
-    return f"{base.rstrip('/')}/pricewise-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/pricewise-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.add(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch paths that this process has made, once no frame reads them any
+    more. Works on any file system that Spark writes to; returns the number deleted."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = 0
+    for path in sorted(_scratch):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(p.getFileSystem(conf).delete(p, True))
+        _scratch.discard(path)
+    return gone

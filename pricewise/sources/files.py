@@ -15,19 +15,16 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              header: bool = True, sep: str = ",", infer_schema: bool | None = None,
-             mode: str = "PERMISSIVE", sampling_ratio: float | None = None) -> DataFrame:
+             mode: str = "PERMISSIVE") -> DataFrame:
     """CSV scan. With ``schema`` no inference pass is run (one pass less over the
     files, and stable types) -- the form to use on large inputs. Without it
-    ``inferSchema`` reads the whole input once more, or the ``sampling_ratio``
-    share of it."""
+    ``inferSchema`` reads the whole input once more."""
     reader = (spark.read.format("csv").option("header", header).option("sep", sep)
               .option("mode", mode))
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True if infer_schema is None else infer_schema)
-        if sampling_ratio is not None:
-            reader = reader.option("samplingRatio", sampling_ratio)
     return reader.load(path)
 
 
@@ -36,16 +33,6 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") ->
     return path
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Parquet sink (S4). Written as files in a shared folder, so the table also
-    serves as a lineage cut that survives executor loss."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
 def write_table(df: DataFrame, name: str, path: str | None = None) -> str:
     """Parquet table in the session catalog (S4, ``saveAsTable``). With ``path``
     the files go to that shared location (an external table); without it, to the

@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def score_stream(model: PipelineModel, stream: DataFrame, keys: Sequence[str], label: str
@@ -39,3 +40,9 @@ def run_to_parquet(scored: DataFrame, sink_path: str, checkpoint_path: str,
         if q.isActive:
             q.stop()
     return sink_path
+
+
+def read_sink(spark: SparkSession, sink_path: str, schema: StructType) -> DataFrame:
+    """The sink's rows. The schema is given, so a sink to which nothing was written yet is
+    an empty frame."""
+    return spark.read.schema(schema).parquet(sink_path)

@@ -94,3 +94,20 @@ def test_explicit_schema_scan(spark, tmp_path):
               "DestAirportID int, DepDelay int, ArrDelay int")
     df = read_csv(spark, str(p), schema=schema, header=False)
     assert df.first().Carrier == "AA" and df.first().ArrDelay == 4
+
+
+def test_label_limit_is_opt_in(spark):
+    df = spark.range(12_000).selectExpr("concat('c', id) as c", "cast(id as double) as y")
+    enc = fit_encoders(df, FeatureSpec(label="y", categorical=("c",)))
+    assert len(enc.stages[0].labelsArray[0]) == 12_000
+    with pytest.raises(CardinalityError):
+        fit_encoders(df, FeatureSpec(label="y", categorical=("c",), max_labels=10_000))
+
+
+def test_keep_is_for_labels_only(spark):
+    """A missing number has no index to keep: an error rather than a NaN in the vector."""
+    df = spark.createDataFrame([("a", 1.0, 1.0), (None, None, 2.0)], "c string, x double, y double")
+    spec = FeatureSpec(label="y", categorical=("c",), numeric=("x",), handle_invalid="keep")
+    enc = fit_encoders(df.filter("x is not null"), spec)
+    with pytest.raises(Exception, match="null"):
+        enc.transform(df).collect()

@@ -1,6 +1,9 @@
 """Plan-shape regression tests: the scale claims in the README, as assertions."""
 import re
 
+import pytest
+from pyspark import StorageLevel
+
 from pricewise.operators import evaluate as ev
 from pricewise.operators import tuning as tu
 from pricewise.operators.learners import make_learner
@@ -9,6 +12,7 @@ from pricewise.plans import queries as Q
 
 
 def _plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "4000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -19,25 +23,49 @@ def _read_columns(plan: str) -> set[str]:
     return cols
 
 
+KEY_COLUMNS = {"l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"}
+
+
 def test_split_reads_only_the_key(spark, sf_small):
     plan = _plan(Q.q_hash_split(spark, sf_small))
-    assert _read_columns(plan) == {"l_orderkey", "l_linenumber"}
+    assert _read_columns(plan) == KEY_COLUMNS
     assert "Exchange" not in plan
 
 
+def test_cached_training_rows_hold_key_inputs_and_label(spark, sf_small, monkeypatch):
+    """What ``eval_metrics`` caches before its fit."""
+    cached = []
+    real = Q.persisted
+
+    def spy(df):
+        cached.append(df.columns)
+        return real(df)
+    monkeypatch.setattr(Q, "persisted", spy)
+    Q.q_eval_metrics(spark, sf_small).collect()
+    assert cached == [[*li.KEY, "l_returnflag", "l_linestatus", "price"]]
+
+
 def test_scoring_and_metrics_plan(spark, sf_small):
-    train, test = Q._split(spark, sf_small)
+    train, test = Q._split(spark, sf_small, li.CELL_SPEC)
     model = tu.plain_fit(train, li.CELL_SPEC, make_learner("dt", li.LABEL, maxDepth=5))
     plan = _plan(ev.regression_metrics(model.transform(test), li.LABEL))
     # unused columns never leave the file
-    assert not _read_columns(plan) & {"l_partkey", "l_suppkey", "l_quantity", "l_shipdate"}
-    # one small exchange for the global aggregate, plus only the spread of the one-task scan
-    exchanges = re.findall(r"Exchange (\w+)", plan)
-    assert exchanges.count("SinglePartition") == 1
-    assert set(exchanges) <= {"SinglePartition", "RoundRobinPartitioning"}
+    assert not _read_columns(plan) & {"l_quantity", "l_comment"}
+    # test rows are not moved to be scored: one small exchange for the global aggregate
+    assert re.findall(r"Exchange (\w+)", plan) == ["SinglePartition"]
     assert "partial_" in plan
 
 
 def test_preview_is_a_top_k(spark, sf_small):
     plan = _plan(Q.q_preview(spark, sf_small))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_a_failed_search_leaves_nothing_cached(spark, sf_small):
+    train, _ = Q._split(spark, sf_small, li.CELL_SPEC)
+    est = make_learner("dt", li.LABEL, maxDepth=2)
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    with pytest.raises(ValueError, match="empty"):
+        tu.cross_validate(spark, train.selectExpr("*", "0 as fold"), li.CELL_SPEC, est, [{}], li.KEY, 2)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
+    assert StorageLevel.NONE == train.storageLevel
