@@ -329,3 +329,28 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by 4-word shingles at a Jaccard similarity of 0.85."""
     return near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+OP7_SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT r, array_to_string(words[i:i + 3], ' ') AS shingle
+    FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM docs WHERE len(words) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+pairs AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY a.r, b.r),
+links AS (
+    SELECT p.a, p.b FROM pairs p JOIN sizes x ON x.r = p.a JOIN sizes y ON y.r = p.b
+    WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+reach AS (
+    SELECT r, r AS t FROM docs
+    UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.t)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM docs d LEFT JOIN sizes s USING (r)
+JOIN (SELECT reach.r, min(t.doc_id) AS component_id FROM reach JOIN docs t ON t.r = reach.t GROUP BY reach.r) c
+    ON c.r = d.r
+"""

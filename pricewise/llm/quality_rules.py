@@ -174,3 +174,44 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_policy(ledger(read(spark, sf_dir, "documents"))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "failed_bits", "n_lines", "n_alpha_words", "n_upper_words")
+
+
+OP3_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+line_counts AS (
+    SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE worded) - count(DISTINCT line) FILTER (WHERE worded)
+        AS n_dup_lines
+    FROM (SELECT r, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded FROM lines) GROUP BY r),
+windows AS (
+    SELECT r, i, array_to_string(words[i:i + 2], ' ') AS content
+    FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM docs)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, content) AS n FROM windows) WHERE n > 1),
+repeated AS (
+    SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest([0, 1, 2]) AS k FROM twice) GROUP BY r),
+words AS (SELECT r, unnest(words) AS word FROM docs),
+word_counts AS (
+    SELECT r, sum(length(word)) AS word_chars,
+           count(*) FILTER (WHERE regexp_matches(word, '[A-Za-z]|[^\x00-\x7F]')) AS n_alpha_words,
+           count(*) FILTER (WHERE regexp_matches(word, '[A-Z].*[A-Z]') AND NOT regexp_matches(word, '[a-z]'))
+               AS n_upper_words
+    FROM words GROUP BY r),
+measured AS (
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+           CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words, n_lines,
+           coalesce(n_alpha_words, 0) AS n_alpha_words, coalesce(n_upper_words, 0) AS n_upper_words
+    FROM docs JOIN line_counts USING (r) LEFT JOIN repeated USING (r) LEFT JOIN word_counts USING (r)),
+failed AS (
+    SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END
+             + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+             + CASE WHEN n_words > 100000 THEN 4 ELSE 0 END
+             + CASE WHEN n_words > 0 AND word_chars / n_words NOT BETWEEN 3.0 AND 10.0 THEN 8 ELSE 0 END
+             + CASE WHEN n_symbols > 0.1 * n_words THEN 16 ELSE 0 END
+             + CASE WHEN n_dup_lines > 0.3 * n_lines THEN 32 ELSE 0 END
+             + CASE WHEN n_alpha_words < 0.8 * n_words THEN 64 ELSE 0 END
+             + CASE WHEN n_upper_words > 0.5 * n_words THEN 128 ELSE 0 END) AS failed_bits FROM measured)
+SELECT *, failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept FROM failed
+"""

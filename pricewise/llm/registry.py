@@ -5,13 +5,13 @@ from __future__ import annotations
 from .decontamination import op5_benchmark_decontamination
 from .license_scan import op8_license_scan
 from .line_dedup import OP4_SQL, op4_line_dedup
-from .ngram_join import op7_ngram_join
+from .ngram_join import OP7_SQL, op7_ngram_join
 from .packing import op6_best_fit_packing
 from .quality_classifier import op10_quality_classifier
-from .quality_rules import op3_quality_rules
-from .substring_dedup import op9_substring_dedup
+from .quality_rules import OP3_SQL, op3_quality_rules
+from .substring_dedup import OP9_SQL, op9_substring_dedup
 from .suffix_dedup import op2_suffix_dedup
-from .warc import op1_warc
+from .warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
@@ -27,5 +27,9 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": OP1_SQL,
+    "op3_quality_rules": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op7_ngram_join": OP7_SQL,
+    "op9_substring_dedup": OP9_SQL,
 }

@@ -192,3 +192,23 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 13-word windows removed from all documents."""
     return repeated_windows(read(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+    SELECT r, doc_id, i, array_to_string(words[i:i + 12], ' ') AS content
+    FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM docs)),
+firsts AS (SELECT content, min(doc_id) AS first FROM windows GROUP BY content),
+hits AS (SELECT r, i FROM windows JOIN firsts USING (content) WHERE first < doc_id),
+gone AS (SELECT DISTINCT r, i + k AS place FROM (SELECT r, i, unnest(range(0, 13)) AS k FROM hits)),
+words AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM docs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY place) AS text FROM words ANTI JOIN gone USING (r, place)
+         GROUP BY r),
+removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(removed.n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""

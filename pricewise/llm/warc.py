@@ -308,3 +308,20 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_warc(spark, path, with_payload=False)
     return records.filter(F.col("record_type").isin("response", "revisit")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
+
+
+#: base32 of the digest: each ten hex digits are eight letters of five bits.
+OP1_SQL = """
+WITH pages_ AS (SELECT row_number() OVER () AS r, page_id, url, coalesce(html, '') AS html FROM pages),
+hashed AS (SELECT *, sha1(html) AS hex FROM pages_),
+letters AS (
+    SELECT r, c, j, substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+        ((CAST('0x' || substr(hex, 10 * c + 1, 10) AS BIGINT) >> (35 - 5 * j)) & 31) + 1 AS BIGINT), 1) AS letter
+    FROM hashed, (SELECT unnest(range(0, 4)) AS c), (SELECT unnest(range(0, 8)) AS j)),
+digests AS (SELECT r, string_agg(letter, '' ORDER BY c, j) AS digest FROM letters GROUP BY r),
+firsts AS (SELECT hex, min(page_id) AS first FROM hashed GROUP BY hex)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, url AS target_uri
+FROM hashed JOIN digests USING (r) JOIN firsts USING (hex)
+"""
