@@ -34,7 +34,7 @@ from .textblock import (Texts, ascii_lower, batch_slices, byte_values, mix, pref
 TRIGRAMS, FORMS = 4096 - 256, 256
 TERMS = TRIGRAMS + FORMS
 #: The classifier is fitted on at most so many labelled documents.
-MAX_LABELLED = 8192
+MAX_LABELLED = 6144
 RANK = 48
 NEIGHBOURS = 10
 #: Weight of the forms against the trigrams.
@@ -181,7 +181,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rank: int = RANK,
         neighbours: int = NEIGHBOURS) -> Model:
-    """The driver holds at most ``max_labelled`` sparse rows of term counts."""
+    """The driver holds ``max_labelled`` rows of TERMS 32-bit weights at most (100 MB)."""
     df, n = document_frequencies(docs)
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
 
@@ -198,21 +198,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ra
 
     sample = labelled_sample(docs, labels, max_labelled) \
         .mapInArrow(featurise, "at binary, n binary, label double").collect()
-    counts = np.zeros((len(sample), TERMS), dtype=np.float32)
-    for i, r in enumerate(sample):
-        counts[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
-    y = np.array([r["label"] for r in sample], dtype=np.float64)
-    if not len(y):
-        return Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), y, neighbours)
-    some = counts.sum(axis=1) > 0
-    x = weighted(counts[some], idf)
-    del counts
-    if not len(x):
+    some = [r for r in sample if r["at"]]
+    y = np.array([r["label"] for r in some or sample], dtype=np.float64)
+    if not some:
         return Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((len(y), 1), np.float32), y, neighbours)
+    x = np.zeros((len(some), TERMS), dtype=np.float32)
+    for first in range(0, len(some), 256):
+        counts = np.zeros((len(some[first:first + 256]), TERMS), dtype=np.float32)
+        for row, r in zip(counts, some[first:first + 256]):
+            row[np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
+        x[first:first + 256] = weighted(counts, idf)
+    del sample, some
     projection = latent_space(x, rank)
     v = x @ projection
     v /= np.maximum(1e-9, np.linalg.norm(v, axis=1, keepdims=True))
-    return Model(idf, projection, v, y[some], neighbours)
+    return Model(idf, projection, v, y, neighbours)
 
 
 def _batch_scores(model: Model, b: pa.RecordBatch) -> np.ndarray:
