@@ -3,36 +3,23 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees, as the session names it. Only a ``local[...]``
-    session that names none (tests) gets a temporary folder."""
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="llm-shared-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+from ..session import ensure_checkpoint_dir, scratch_path
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder (reliable: survives a lost executor)."""
-    shared_dir(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the folder that the session names in ``spark.checkpoint.dir``;
+    ``session.remove_scratch`` deletes it when nothing reads it any more."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -26,16 +26,21 @@ def _small_star(e: DataFrame) -> DataFrame:
     return hung.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _is_stars(e: DataFrame) -> bool:
+    """Whether every node has one edge up at most, and none if it has one from below: then
+    each component is a star around its smallest node."""
+    ends = e.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+        .unionByName(e.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    mixed = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")) \
+        .filter((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1)))
+    return mixed.count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): root is its component's smallest node."""
-    e = edges.filter(F.col("a") != F.col("b")) \
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    before = None
-    while True:
-        e = checkpoint(_small_star(_large_star(e)) if before is not None else e)
-        state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
+    e = checkpoint(edges.filter(F.col("a") != F.col("b"))
+                   .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while not _is_stars(e):
+        e = checkpoint(_small_star(_large_star(e)))
     stars = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
