@@ -122,7 +122,8 @@ class Size:
 def blocks_of(docs: DataFrame, partitions: int) -> DataFrame:
     """Documents in compressed blocks, dealt by block_id. A block is named by its task and
     its place there, which a repeated task gives again. Both readers of the result share
-    one exchange."""
+    one exchange. ``docs`` should be a table scan, whose tasks give the same rows in the same
+    order when they are repeated; write or checkpoint the result of a shuffle first."""
     limit = BLOCK_BYTES
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

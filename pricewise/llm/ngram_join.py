@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read, text_bytes
+from .common import checkpoint, materialize, read, text_bytes
 from .components import components
 from .fingerprints import (Size, answer, answers_of, blocks_of, distinct, emit, join_answers,
                            pack_array, send, truncated, unpack_array, unpack_texts)
@@ -310,7 +310,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     found = components(links(sets, percent, chunk_sets))
     placed = linkable.select("doc_id", "n_shingles", "node").join(found, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
-    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # a table of its own, so that a component of many rows can be split in the join
+    smallest = checkpoint(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     linked = placed.join(smallest, "root").select("doc_id", "n_shingles", "component_id")
     alone = rows.filter(F.col("node").isNull()) \
         .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
