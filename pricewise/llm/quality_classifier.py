@@ -40,6 +40,8 @@ NEIGHBOURS = 10
 #: Weight of the forms against the trigrams.
 FORM_WEIGHT = 2.0
 THRESHOLD = 0.7
+#: Documents and bytes of a slice whose counts are a dense array.
+SLICE_ROWS, SLICE_BYTES = 512, 1 << 20
 HELD_OUT = 2
 
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>@^~_=+{}[]\\/"))
@@ -152,7 +154,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(TERMS, dtype=np.int64), 0
         for b in batches:
-            for _, _, t in batch_slices(b):
+            for _, _, t in batch_slices(b, SLICE_BYTES, SLICE_ROWS):
                 total += (term_counts(t) > 0).sum(axis=0)
                 rows += len(t)
         yield pa.RecordBatch.from_arrays(
@@ -188,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ra
     def featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             label = b.column("label").to_numpy()
-            for row, end, t in batch_slices(b):
+            for row, end, t in batch_slices(b, SLICE_BYTES, SLICE_ROWS):
                 counts = term_counts(t)
                 at = [np.nonzero(c)[0] for c in counts]
                 yield pa.RecordBatch.from_arrays(
@@ -216,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ra
 
 
 def _batch_scores(model: Model, b: pa.RecordBatch) -> np.ndarray:
-    scores = [model.score(term_counts(t)) for _, _, t in batch_slices(b, 1 << 20)]
+    scores = [model.score(term_counts(t)) for _, _, t in batch_slices(b, SLICE_BYTES, SLICE_ROWS)]
     return np.concatenate(scores) if scores else np.zeros(0)
 
 

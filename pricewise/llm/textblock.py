@@ -146,9 +146,10 @@ def id_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ids.astype(np.int64), null
 
 
-def batch_slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
+def batch_slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, rows: int = 1 << 20
+                 ) -> Iterator[tuple[int, int, Texts]]:
     """(first row, end row, texts) for slices of a batch with columns doc_id and text.
-    A slice holds at most ``limit`` bytes, or one longer document."""
+    A slice holds at most ``rows`` documents and ``limit`` bytes, or one longer document."""
     if not batch.num_rows:
         return
     off, buf = text_buffer(batch.column("text"))
@@ -156,7 +157,7 @@ def batch_slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[tu
     row, n = 0, batch.num_rows
     while row < n:
         end = int(np.searchsorted(off, off[row] + limit, side="right")) - 1
-        end = min(n, max(row + 1, end))
+        end = min(n, row + rows, max(row + 1, end))
         data = buf[off[row]:off[end]]
         rel = off[row:end + 1] - off[row]
         yield row, end, Texts(ids[row:end], null[row:end], data, rel[:-1], rel[1:])
