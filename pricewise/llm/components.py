@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from .common import checkpoint
 
 
+# Edges (a, b) have a > b throughout.
+
 def _large_star(e: DataFrame) -> DataFrame:
-    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter(F.col("b") > F.col("a")).join(low, "a") \
-        .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    """Every node's larger neighbours go to the smallest of the node and its neighbours."""
+    # a table of its own, so that the edges of a node with many larger neighbours can be split
+    low = checkpoint(e.groupBy("a").agg(F.min("b").alias("m"))).select(F.col("a").alias("b"), "m")
+    return e.join(low, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    # every edge has a > b here
+    """Every node and its smaller neighbours go to the smallest of them."""
     low = e.groupBy("a").agg(F.min("b").alias("m"))
     hung = e.join(low, "a").filter(F.col("b") != F.col("m")) \
         .select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -26,9 +26,11 @@ from pyspark.sql import functions as F
 from .common import power_of_two, shuffle_partitions
 from .textblock import Texts, batch_slices
 
+#: There is a message for each block and bucket: on executors with more memory, raise both
+#: sizes with the table (a block takes some 60 times its bytes, a bucket some 50 bytes for
+#: each fingerprint).
 BLOCK_BYTES = 4 << 20
-#: A bucket is sized to hold about so many fingerprints (some 40 bytes each while it is sorted).
-BUCKET_FINGERPRINTS = 1 << 19
+BUCKET_FINGERPRINTS = 1 << 21
 #: Spare bits of a fingerprint that is only a filter: about one in 2**7 passes by chance.
 FILTER_SPARE_BITS = 7
 
@@ -112,7 +114,7 @@ class Size:
     def of(docs: DataFrame, total: int, per_byte: float) -> Size:
         n = max(1.0, total * per_byte)
         parts = max(shuffle_partitions(docs.sparkSession), -(-total // (64 << 20)))
-        buckets = power_of_two(max(n / BUCKET_FINGERPRINTS, 2 * min(parts, 16)))
+        buckets = power_of_two(max(n / BUCKET_FINGERPRINTS, 4 * min(parts, 16)))
         bits = max(16, power_of_two(n).bit_length() - 1 + FILTER_SPARE_BITS)
         return Size(min(buckets, 1 << 24), min(64, bits), int(parts))
 

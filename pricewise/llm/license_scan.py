@@ -226,3 +226,60 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+def _sql() -> str:
+    quoted = [(i, *(x.replace("'", "''") for x in row)) for i, row in enumerate(TEMPLATES)]
+    values = ",\n        ".join(f"({i}, '{name}', '{text}')" for i, name, text in quoted)
+    return rf"""
+WITH files AS (
+    SELECT row_number() OVER () AS r, doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path,
+           concat_ws('/', source, lang) AS dir, coalesce(text, '') AS text FROM documents),
+templates AS (SELECT * FROM (VALUES
+        {values}) t(id, licence, text)),
+template_words AS (SELECT id, unnest(regexp_extract_all(lower(text), '{WORD}')) AS word FROM templates),
+file_words AS (SELECT r, regexp_extract_all(lower(text), '{WORD}') AS words FROM files),
+held AS (SELECT r, unnest(list_distinct(words)) AS word FROM file_words),
+idf AS (
+    SELECT v.word, ln((1 + (SELECT count(*) FROM files)) / (1 + count(held.r))) + 0.1 AS idf
+    FROM (SELECT DISTINCT word FROM template_words) v LEFT JOIN held ON held.word = v.word GROUP BY v.word),
+raw AS (
+    SELECT id, word, (1 + ln(count(*))) * any_value(idf) AS w FROM template_words JOIN idf USING (word)
+    GROUP BY id, word),
+vectors AS (SELECT id, word, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS t FROM raw),
+units AS (
+    SELECT r, unnest(list_concat(string_split(text, chr(10)),
+        list_filter(regexp_split_to_array(text, '\n[ \t\r]*\n\s*'), lambda p: contains(p, chr(10))))) AS unit
+    FROM files),
+unit_words AS (
+    SELECT r, u, len(words) AS n, unnest(words) AS word FROM (
+        SELECT r, row_number() OVER () AS u, regexp_extract_all(lower(unit), '{WORD}') AS words FROM units)),
+unit_vectors AS (
+    SELECT r, u, n, word, (1 + ln(count(*))) * coalesce(
+        any_value(idf), ln(1 + (SELECT count(*) FROM files)) + 0.1) AS w
+    FROM unit_words LEFT JOIN idf USING (word) GROUP BY r, u, n, word),
+norms AS (SELECT u, sqrt(sum(w * w)) AS norm FROM unit_vectors GROUP BY u),
+cosines AS (
+    SELECT r, u, n, id, sum(w * t) / any_value(norm) AS cosine
+    FROM unit_vectors JOIN vectors USING (word) JOIN norms USING (u) GROUP BY r, u, n, id),
+best AS (
+    SELECT c.r, c.n, c.cosine, t.licence, row_number() OVER (
+        PARTITION BY c.r ORDER BY round(c.cosine, 9) DESC, t.licence DESC, c.n DESC) AS place
+    FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(cosine, 12) DESC, id) AS first FROM cosines) c
+    JOIN templates t USING (id) WHERE c.first = 1 AND c.cosine >= {THRESHOLD}),
+own AS (
+    SELECT f.r, f.dir, f.path, b.licence, b.cosine, b.n >= {LICENCE_FILE_SHARE} * len(w.words) AS whole
+    FROM best b JOIN files f USING (r) JOIN file_words w USING (r) WHERE place = 1),
+licensed AS (
+    SELECT dir, licence, cosine, row_number() OVER (PARTITION BY dir ORDER BY round(cosine, 9) DESC, path) AS place
+    FROM own WHERE whole)
+SELECT f.doc_id, f.path, coalesce(o.licence, l.licence) AS licence,
+       round(coalesce(o.cosine, l.cosine), 6) AS cosine,
+       CASE WHEN o.r IS NOT NULL THEN 'own' WHEN l.dir IS NOT NULL THEN 'directory' ELSE 'none' END AS origin,
+       CASE WHEN o.r IS NULL THEN l.dir END AS licence_dir
+FROM files f LEFT JOIN own o ON o.r = f.r LEFT JOIN licensed l ON l.dir = f.dir AND l.place = 1
+"""
+
+
+#: The documents' paths have their files in source/lang only, so the nearest directory is that one.
+OP8_SQL = _sql()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import op5_benchmark_decontamination
-from .license_scan import op8_license_scan
+from .license_scan import OP8_SQL, op8_license_scan
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .ngram_join import OP7_SQL, op7_ngram_join
 from .packing import op6_best_fit_packing
@@ -31,5 +31,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
     "op7_ngram_join": OP7_SQL,
+    "op8_license_scan": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
 }
