@@ -10,7 +10,7 @@ from .packing import op6_best_fit_packing
 from .quality_classifier import op10_quality_classifier
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .substring_dedup import OP9_SQL, op9_substring_dedup
-from .suffix_dedup import op2_suffix_dedup
+from .suffix_dedup import OP2_SQL, op2_suffix_dedup
 from .warc import OP1_SQL, op1_warc
 
 QUERIES = {
@@ -28,6 +28,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
+    "op2_suffix_dedup": OP2_SQL,
     "op3_quality_rules": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
     "op7_ngram_join": OP7_SQL,

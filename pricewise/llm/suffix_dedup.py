@@ -186,3 +186,29 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 200-byte strings removed from all documents."""
     return repeated_spans(read(spark, sf_dir, "documents"))
+
+
+OP2_SQL = """
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+           CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+windows AS (
+    SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS content
+    FROM (SELECT r, h, unnest(range(0, n - 199)) AS i FROM docs)),
+repeats AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY content) AS k FROM windows) WHERE k > 1),
+breaks AS (
+    SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS b FROM repeats),
+spans AS (
+    SELECT r, min(i) AS s, max(i) + 200 AS e
+    FROM (SELECT r, i, sum(b) OVER (PARTITION BY r ORDER BY i) AS g FROM breaks) GROUP BY r, g),
+kept AS (
+    SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS a, s AS b FROM spans
+    UNION ALL SELECT d.r, coalesce(max(s.e), 0), any_value(d.n) FROM docs d LEFT JOIN spans s USING (r) GROUP BY d.r),
+texts AS (
+    SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h
+    FROM kept JOIN docs USING (r) GROUP BY r),
+sums AS (SELECT r, sum(e - s) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(texts.h)) AS kept_sha256
+FROM docs JOIN texts USING (r) LEFT JOIN sums USING (r)
+"""
