@@ -14,8 +14,8 @@ shingle within their prefixes (all but the last ``ceil(t * n)`` shingles, plus o
    that is already connected to the walking one needs no count;
 5. the links found are joined into components.
 
-A cluster of more than ``CHUNK_SETS`` sets is dealt into chunks, and each pair of chunks is
-one tree and one set of walkers: the same links, in pieces of bounded size.
+A cluster of more than a few sets is dealt into chunks, and each pair of chunks is one tree
+and one set of walkers: the same links, in pieces of bounded size.
 
 Defined cases: rows are nodes, so repeated rows link with each other; null and empty texts, and
 texts without words, have an empty set and link with nothing; with fewer words than a shingle
@@ -40,7 +40,10 @@ from .fingerprints import (Size, answer, answers_of, blocks_of, distinct, emit,
                            pack_array, send, truncated, unpack_array, unpack_texts)
 from .textblock import Texts, ascii_lower, byte_values, prefix_sums, range_hash
 
-CHUNK_SETS = 2000
+#: A cluster is dealt into chunks of about SMALL_CHUNK sets, but MANY_CHUNKS at most until a
+#: chunk would hold more than CHUNK_SETS: every pair of chunks is a task's work, and every set
+#: is sent once for each chunk.
+SMALL_CHUNK, MANY_CHUNKS, CHUNK_SETS = 128, 16, 2000
 WORDS_PER_BYTE = 1 / 6
 
 _SETS = "doc_id long, n_shingles long, node binary, shingles binary, prefix array<long>"
@@ -286,8 +289,10 @@ def prefix_clusters(sets: DataFrame) -> DataFrame:
 def links(sets: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS) -> DataFrame:
     """(a, b): links of at least ``percent``, enough of them to connect what all would."""
     clusters = prefix_clusters(sets)
+    n = F.count(F.lit(1))
     chunks = clusters.groupBy("root").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(chunk_sets)).cast("int").alias("chunks"))
+        F.greatest(F.least(F.ceil(n / F.lit(SMALL_CHUNK)), F.lit(MANY_CHUNKS)),
+                   F.ceil(n / F.lit(chunk_sets))).cast("int").alias("chunks"))
     members = sets.join(clusters, "node").join(chunks, "root") \
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
