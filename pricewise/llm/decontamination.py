@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
-from .textblock import (Texts, ascii_lower, batch_slices, byte_values, prefix_sums, range_hash,
+from .textblock import (Texts, ascii_lower, batch_slices, byte_sums, prefix_sums, range_hash,
                         slices)
 
 MIN_MATCH = 4
@@ -50,7 +50,7 @@ class Tokens:
     def __init__(self, t: Texts):
         lower = Texts(t.ids, t.null_id, ascii_lower(t.data), t.starts, t.ends)
         begin, end, self.doc = lower.words(_PARTS)
-        self.hash = range_hash(prefix_sums(byte_values(lower.data)), begin, end)
+        self.hash = range_hash(byte_sums(lower.data), begin, end)
         self.sums = prefix_sums(self.hash)
         self.size = np.bincount(self.doc, minlength=len(t))
         self.first = np.cumsum(self.size) - self.size

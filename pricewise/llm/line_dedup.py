@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fresh_path, read
-from .textblock import (SEPARATOR, Texts, ascii_lower, batch_slices, byte_values, prefix_sums,
+from .textblock import (SEPARATOR, Texts, ascii_lower, batch_slices, byte_sums,
                         range_hash, slices)
 
 MIN_KEY_CHARS = 10
@@ -49,7 +49,7 @@ def line_hashes(t: Texts) -> tuple[np.ndarray, ...]:
     points = np.append(0, np.cumsum((t.data & 0xC0) != 0x80))
     counts = points[last] - points[first] >= MIN_KEY_CHARS
     lower = ascii_lower(t.data)
-    halves = [range_hash(prefix_sums(byte_values(lower, second)), first, last).view(np.int64)
+    halves = [range_hash(byte_sums(lower, second), first, last).view(np.int64)
               for second in (False, True)]
     return begin, end, doc, counts, *halves
 

@@ -38,7 +38,7 @@ from .common import checkpoint, materialize, read, text_bytes
 from .components import components
 from .fingerprints import (Size, answer, answers_of, blocks_of, distinct, emit, join_answers,
                            pack_array, send, truncated, unpack_array, unpack_texts)
-from .textblock import Texts, ascii_lower, byte_values, prefix_sums, range_hash
+from .textblock import Texts, ascii_lower, byte_sums, prefix_sums, range_hash
 
 #: A cluster is dealt into chunks of about SMALL_CHUNK sets, but MANY_CHUNKS at most until a
 #: chunk would hold more than CHUNK_SETS: every pair of chunks is a task's work, and every set
@@ -55,7 +55,7 @@ def shingles(t: Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of the distinct shingles, ordered by document and hash."""
     lower = Texts(t.ids, t.null_id, ascii_lower(t.data), t.starts, t.ends)
     begin, end, doc = lower.words()
-    sums = prefix_sums(range_hash(prefix_sums(byte_values(lower.data)), begin, end))
+    sums = prefix_sums(range_hash(byte_sums(lower.data), begin, end))
     size = np.bincount(doc, minlength=len(t))
     first = np.cumsum(size) - size
     i = np.arange(max(0, len(begin) - words + 1))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
-from .textblock import (Texts, ascii_lower, batch_slices, byte_values, mix, prefix_sums,
+from .textblock import (Texts, ascii_lower, batch_slices, byte_sums, mix, prefix_sums,
                         range_hash)
 
 TRIGRAMS, FORMS = 4096 - 256, 256
@@ -60,7 +60,7 @@ def _repeated(t: Texts, begin: np.ndarray, end: np.ndarray, doc: np.ndarray) ->
     out = np.zeros(len(begin), dtype=bool)
     if len(begin) < 3:
         return out
-    w = prefix_sums(range_hash(prefix_sums(byte_values(t.data)), begin, end))
+    w = prefix_sums(range_hash(byte_sums(t.data), begin, end))
     at = np.nonzero(doc[2:] == doc[:-2])[0]
     if not len(at):
         return out

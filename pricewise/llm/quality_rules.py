@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
-from .textblock import (SEPARATOR, Texts, batch_slices, byte_values, mix, prefix_sums,
+from .textblock import (SEPARATOR, Texts, batch_slices, byte_sums, mix, prefix_sums,
                         range_hash)
 
 #: Characters that count as symbols.
@@ -81,7 +81,7 @@ def measure(t: Texts) -> dict[str, np.ndarray]:
     upper, lower = _count(_UPPER[data], begin, end), _count(_LOWER[data], begin, end)
     out["n_alpha_words"] = np.bincount(doc[_count(_ALPHA[data], begin, end) > 0], minlength=n)
     out["n_upper_words"] = np.bincount(doc[(upper >= 2) & (lower == 0)], minlength=n)
-    sums = prefix_sums(byte_values(data))
+    sums = byte_sums(data)
 
     l_begin, l_end, l_doc = t.lines()
     worded = _count(~SEPARATOR[data], l_begin, l_end) > 0

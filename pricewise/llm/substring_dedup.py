@@ -28,7 +28,7 @@ from .cover import PERFECT, cover_positions, covered, reached
 from .fingerprints import (Size, answer, answers_of, blocks_of, distinct, emit, join_answers,
                            pack_array, pack_flags, pack_sorted, pack_texts, send, several,
                            truncated, unpack_array, unpack_flags, unpack_sorted, unpack_texts)
-from .textblock import Texts, byte_values, prefix_sums, range_hash
+from .textblock import Texts, byte_sums, prefix_sums, range_hash
 
 WINDOW = 13
 PERIOD = 7
@@ -47,7 +47,7 @@ class Words:
 
     def __init__(self, t: Texts):
         begin, end, self.doc = t.words()
-        sums = prefix_sums(byte_values(t.data))
+        sums = byte_sums(t.data)
         self.sums = prefix_sums(range_hash(sums, begin, end))
         self.size = np.bincount(self.doc, minlength=len(t))
         self.first = np.cumsum(self.size) - self.size

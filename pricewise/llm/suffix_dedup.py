@@ -36,7 +36,7 @@ from .cover import PERFECT, cover_positions, covered, reached
 from .fingerprints import (Size, answer, answers_of, blocks_of, distinct, emit, join_answers,
                            pack_flags, pack_texts, send, several, truncated, unpack_flags,
                            unpack_texts)
-from .textblock import Texts, byte_values, prefix_sums, range_hash
+from .textblock import Texts, byte_sums, range_hash
 
 MATCH = 200
 PERIOD = 91
@@ -50,20 +50,20 @@ _NAMES = ["block_id", "payload", "doc_id", "n_bytes", "n_removed", "n_spans", "k
 
 def _samples(t: Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
     at = cover_positions(PERIOD, t.starts, t.sizes, PREFIX, MATCH)
-    sums = prefix_sums(byte_values(t.data))
+    sums = byte_sums(t.data)
     return at, truncated(range_hash(sums, at, at + PREFIX), bits)
 
 
 def _suffixes(t: Texts, candidate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.nonzero(candidate)[0]
-    sums = prefix_sums(byte_values(t.data))
+    sums = byte_sums(t.data)
     return at, range_hash(sums, at, at + MATCH)
 
 
 def _whole(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Documents of at least 200 bytes, and a fingerprint of each."""
     at = np.nonzero(t.sizes >= MATCH)[0]
-    sums = prefix_sums(byte_values(t.data))
+    sums = byte_sums(t.data)
     return at, range_hash(sums, t.starts[at], t.ends[at])
 
 

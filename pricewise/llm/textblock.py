@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+#: Entries that a running sum takes in one go, to keep its temporary arrays small.
+CHUNK = 1 << 18
 NEWLINE = 10
 #: Word separators: space and the five control characters 0x09-0x0D.
 SEPARATOR = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -29,7 +31,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``B**i`` and ``B**-i`` modulo 2**64 for i below n or more."""
     if "up" not in _powers or len(_powers["up"]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = -(-n // CHUNK) * CHUNK
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
             t = np.full(size, _U(base))
             t[0] = 1
@@ -46,25 +48,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """Running sums of ``values[i] * B**i`` with a leading zero."""
-    up, _ = _power_table(len(values) + 1)
-    out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], out=out[1:])
+def prefix_sums(values: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Running sums of ``values[i] * B**i`` with a leading zero; with a ``table``, of
+    ``table[values[i]] * B**i``."""
+    n = len(values)
+    up, _ = _power_table(n + 1)
+    out = np.zeros(n + 1, dtype=np.uint64)
+    for a in range(0, n, CHUNK):
+        part = values[a:a + CHUNK]
+        part = (table[part] if table is not None else part) * up[a:a + len(part)]
+        np.cumsum(part, out=out[a + 1:a + 1 + len(part)])
+        out[a + 1:a + 1 + len(part)] += out[a]
     return out
 
 
+def byte_sums(data: np.ndarray, second: bool = False) -> np.ndarray:
+    """Running sums over a random 64-bit value per byte; ``second`` is independent of the
+    first."""
+    return prefix_sums(data, _TABLE_2 if second else _TABLE)
+
+
 def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of each range [start, end), the same wherever the content stands."""
     _, down = _power_table(len(sums))
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def byte_values(data: np.ndarray, second: bool = False) -> np.ndarray:
-    """A random 64-bit value per byte; ``second`` is independent of the first."""
-    return (_TABLE_2 if second else _TABLE)[data]
-
-
 def ascii_lower(data: np.ndarray) -> np.ndarray:
     return _ASCII_LOWER[data]
 
