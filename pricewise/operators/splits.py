@@ -25,7 +25,7 @@ HOLDOUT_LANE = 2
 #: Partitions that training rows are spread over, and rows for which one more is added.
 #: Both depend on the data only: learners that sample rows by partition give the same
 #: model on any cluster.
-SPREAD_PARTITIONS = 16
+SPREAD_PARTITIONS = 8
 ROWS_PER_PARTITION = 1_000_000
 
 
