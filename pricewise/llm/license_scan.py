@@ -1,13 +1,17 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance from directories.
 
-DataFrame operations only. The units of a file are its lines and its paragraphs of several
-lines. A unit and a template are sparse vectors of words, (1 + ln tf) * idf, with idf from the
-document frequencies of all files. The templates are a fixed list, so their words, weights
-and idf are a small table of fixed size; words outside it count with the idf of a word that
-no file holds. Of every template the heaviest words are its *anchors*: so many that a unit
-without any of them can't reach the threshold, so only units with an anchor are compared.
-
-A file's licence is that of its best unit, if the cosine reaches ``THRESHOLD``. A file is a
+DataFrame operations only. The units of a file are its lines, its paragraphs of several lines
+and the sentences of both, which are compared with statements and headers, and the paragraphs
+and the whole text without copyright lines, which are compared with whole licence texts. A unit and a template are sparse
+vectors of words, (1 + ln tf) * idf, with idf from the document frequencies of all files. The
+templates are a fixed list, so their words, weights and idf are a small table of fixed size;
+words outside it count with the idf of a word that no file holds. Of every template the heaviest words are its *anchors*: so many that a unit
+without any of them can't reach the threshold. Only units with an anchor of some template, or
+with a word that its licence requires, are compared.
+
+A file's licence is that of its best unit, if the cosine reaches ``THRESHOLD``, or
+``FULL_THRESHOLD`` for a whole text, which goes before a statement in it. The unit must hold the
+words that tell the licence from its neighbours (version, Lesser, Affero, ShareAlike). A file is a
 *licence file* of its directory if it is named as one, or if that unit is at least half of its
 words. Files without a licence of their own take that of the nearest directory above them that
 has one: directories are joined with their ancestors' paths, once for each directory.
@@ -27,13 +31,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .license_templates import COPYRIGHT_LINE, FILE_RULES, FIRST, FULL, FULL_RULES, MORE, RULES
 
 THRESHOLD = 0.6
+FULL_THRESHOLD = 0.8
+STATEMENT, BODY = range(2)
 LICENCE_FILE_SHARE = 0.5
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
+SENTENCE_END = r"(?<=[.!?])[\"')]*[\s#*/;%!-]+(?=[\"'(]*[A-Z])"
 LICENCE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([.\-_].*)?$"
 
-#: Licence statements and standard file headers by licence.
+#: Licence statements and standard file headers by licence. These alone are in
+#: the SQL; ``license_templates`` has the others.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
@@ -94,9 +103,10 @@ def inverse_frequencies(files: DataFrame, templates: list[tuple[str, str]]) -> t
     """idf of the templates' words over all files, and that of a word no file holds. The
     driver gets one row for each word of the templates."""
     known = vocabulary(templates)
-    literal = F.array(*[F.lit(w) for w in known])
-    hits = F.array_append(F.array_intersect(F.array_distinct(words(F.col("text"))), literal), F.lit(""))
-    found = files.select(F.explode(hits).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    table = files.sparkSession.createDataFrame([(w,) for w in [*known, ""]], "word string")
+    held = F.array_append(F.array_distinct(words(F.col("text"))), F.lit(""))
+    found = files.select(F.explode(held).alias("word")).join(F.broadcast(table), "word") \
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     n = {r["word"]: r["n"] for r in found.collect()}
     total = n.get("", 0)
     return {w: math.log((1 + total) / (1 + n.get(w, 0))) + 0.1 for w in known}, math.log(1 + total) + 0.1
@@ -113,12 +123,14 @@ def template_weights(templates: list[tuple[str, str]], idf: dict[str, float]) ->
     return out
 
 
-def anchors_of(weights: list[dict[str, float]], threshold: float) -> list[str]:
-    """The heaviest words of each template, until the rest alone can't reach ``threshold``."""
+def anchors_of(weights: list[dict[str, float]], threshold: float,
+               order: dict[str, float] | None = None) -> list[str]:
+    """The heaviest words of each template, or those first in ``order``, until the rest alone
+    can't reach ``threshold``."""
     out: set[str] = set()
     for w in weights:
         rest = 1.0
-        for word, v in sorted(w.items(), key=lambda x: (-x[1], x[0])):
+        for word, v in sorted(w.items(), key=lambda x: (-(order[x[0]] if order else x[1]), x[0])):
             if math.sqrt(max(0.0, rest)) < threshold * (1 - 1e-9):
                 break
             out.add(word)
@@ -126,46 +138,106 @@ def anchors_of(weights: list[dict[str, float]], threshold: float) -> list[str]:
     return sorted(out)
 
 
+def needed_words(weights: list[dict[str, float]], groups: list[list[list[str]]], threshold: float,
+                 idf: dict[str, float]) -> list[str]:
+    """Words of which a unit with any template's licence holds one: of each template its anchors
+    or one of its groups, whichever adds the fewest files."""
+    out: set[str] = set()
+    for w, own in zip(weights, groups):
+        choices = [anchors_of([w], threshold, idf), *own]
+        out.update(min(choices, key=lambda c: sum(math.exp(-idf.get(x, math.inf)) for x in c if x not in out)))
+    return sorted(out)
+
+
 def units_of(text: Column) -> Column:
-    """Lines, then paragraphs of several lines."""
+    """(kind, content): as statements the lines, the paragraphs of several lines and the sentences
+    of both, as bodies the same paragraphs and the whole text without copyright lines."""
     lines = F.split(text, "\n")
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n\s*"), lambda p: F.contains(p, F.lit("\n")))
-    return F.concat(lines, paragraphs)
+    cut = F.filter(F.transform(F.concat(lines, paragraphs), lambda x: F.split(x, SENTENCE_END)),
+                   lambda s: F.size(s) > 1)
+
+    def of(kind: int, parts: Column) -> Column:
+        return F.transform(parts, lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("content")))
+    bodies = F.transform(F.array_append(paragraphs, text), lambda p: F.regexp_replace(p, COPYRIGHT_LINE, ""))
+    return F.concat(of(STATEMENT, F.concat(lines, paragraphs, F.flatten(cut))), of(BODY, bodies))
+
+
+def rules_of(template: tuple[str, str], full: bool, by_file: bool) -> tuple:
+    """(groups, lacks, file words, file lacks) of a template, see ``license_templates``."""
+    licence, text = template
+    own = set(words_of(text))
+    groups, lacks = (FULL_RULES if full and licence in FULL_RULES else RULES).get(licence, ([], []))
+    file_needs, file_lacks = FILE_RULES[licence] if by_file else ([], [])
+    return [g for g in groups if own & set(g)], [x for x in lacks if x not in own], file_needs, file_lacks
 
 
-def own_licences(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
+def own_licences(files: DataFrame, templates: list[tuple[str, str]] | None = None,
                  threshold: float = THRESHOLD) -> DataFrame:
     """(path, licence, cosine, whole) of the files with a unit like a template; ``whole`` if
     the unit is at least half of the file's words."""
     spark = files.sparkSession
-    idf, unknown = inverse_frequencies(files, templates)
-    weights = template_weights(templates, idf)
-    anchors = F.array(*[F.lit(w) for w in anchors_of(weights, threshold)])
+    first, full = (FIRST, FULL) if templates is None else ([], [])
+    short = [*first, *(TEMPLATES + MORE if templates is None else templates)]
+    every = short + full
+    idf, unknown = inverse_frequencies(files, every)
+    weights = template_weights(every, idf)
+    rules = [rules_of(t, i >= len(short), i < len(first)) for i, t in enumerate(every)]
+    groups = [r[0] for r in rules]
+    short_anchors, full_anchors = (
+        F.array(*[F.lit(w) for w in needed_words(weights[part], groups[part], least, idf)]).cast("array<string>")
+        for part, least in ((slice(len(short)), threshold), (slice(len(short), None), FULL_THRESHOLD)))
+    marks = F.array(*[F.lit(w) for w in sorted({
+        w for groups, *others in rules for some in (*groups, *others) for w in some})]).cast("array<string>")
+    near = F.when(F.col("kind") == BODY, F.arrays_overlap("words", full_anchors)) \
+        .otherwise(F.arrays_overlap("words", short_anchors))
     has_anchor = files.select("path", "text", words(F.col("text")).alias("all")) \
-        .filter(F.arrays_overlap("all", anchors))
+        .filter(F.arrays_overlap("all", short_anchors) | F.arrays_overlap("all", full_anchors))
     units = has_anchor.select("path", F.size("all").alias("file_words"),
-                              F.posexplode(units_of(F.col("text"))).alias("unit", "content")) \
-        .select("path", "file_words", "unit", words(F.col("content")).alias("words")) \
-        .filter(F.arrays_overlap("words", anchors))
-    counted = units.select("path", "file_words", "unit", F.size("words").alias("unit_words"),
-                           F.explode("words").alias("word")) \
-        .groupBy("path", "unit", "file_words", "unit_words", "word").agg(F.count(F.lit(1)).alias("tf"))
-    # one row for each word of the templates: its idf, and its weight in each template
+                              F.array_intersect("all", marks).alias("file_marks"),
+                              F.posexplode(units_of(F.col("text"))).alias("unit", "u")) \
+        .select("path", "file_words", "file_marks", "unit", "u.kind", words(F.col("u.content")).alias("words")) \
+        .filter(near)
+    unit = ["path", "unit"]
+    about = ["kind", "file_words", "unit_words", "file_marks", "marks"]
+    counted = units.select(*unit, "kind", "file_words", F.size("words").alias("unit_words"), "file_marks",
+                           F.array_intersect("words", marks).alias("marks"), F.explode("words").alias("word")) \
+        .groupBy(*unit, *about, "word").agg(F.count(F.lit(1)).alias("tf"))
+    # one row for each word of the templates: its idf, and its weight in the templates that hold it
     table = spark.createDataFrame(
-        [(w, idf[w], [t.get(w, 0.0) for t in weights]) for w in idf],
-        "word string, idf double, weights array<double>")
+        [(w, idf[w], [(i, t[w]) for i, t in enumerate(weights[:len(short)]) if w in t],
+          [(i, t[w]) for i, t in enumerate(weights) if i >= len(short) and w in t]) for w in idf],
+        "word string, idf double, short array<struct<id: int, t: double>>, full array<struct<id: int, t: double>>")
     w = (F.lit(1.0) + F.log("tf")) * F.coalesce("idf", F.lit(unknown))
-    dots = [F.sum(F.col("w") * F.coalesce(F.col("weights")[i], F.lit(0.0))) for i in range(len(templates))]
-    scores = counted.join(F.broadcast(table), "word", "left").withColumn("w", w) \
-        .groupBy("path", "unit", "file_words", "unit_words") \
-        .agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.array(*dots).alias("dots"))
-    names = F.array(*[F.lit(name) for name, _ in templates])
-    cosine = F.array_max("dots") / F.col("norm")
-    best = scores.select("path", "file_words", "unit_words", cosine.alias("cosine"),
-                         names[F.array_position("dots", F.array_max("dots")) - 1].alias("licence")) \
+    none = F.array().cast("array<struct<id: int, t: double>>")
+    held = F.coalesce(F.when(F.col("kind") == BODY, F.col("full")).otherwise(F.col("short")), none)
+    # the unit's own squared length goes along as template -1
+    terms = F.concat(F.array(F.struct(F.lit(-1).alias("id"), F.col("w").alias("t"))), held)
+    sums = counted.join(F.broadcast(table), "word", "left").withColumn("w", w) \
+        .select(*unit, *about, "w", F.explode(terms).alias("x")) \
+        .groupBy(*unit, *about, "x.id").agg(F.sum(F.col("w") * F.col("x.t")).alias("dot"))
+    scores = sums.groupBy(*unit, *about).agg(
+        F.max(F.when(F.col("id") == -1, F.sqrt("dot"))).alias("norm"),
+        F.collect_list(F.when(F.col("id") >= 0, F.struct("id", "dot"))).alias("dots")) \
+        .select("path", "unit", *about, F.explode("dots").alias("d"), (F.col("d.dot") / F.col("norm")).alias("cosine")) \
         .filter(F.col("cosine") >= threshold)
+    named = spark.createDataFrame(
+        [(i, every[i][0], i >= len(short), *r) for i, r in enumerate(rules)],
+        "id int, licence string, full boolean, groups array<array<string>>, lacks array<string>, "
+        "file_needs array<string>, file_lacks array<string>")
+    allowed = scores.select("path", "unit", *about, "cosine", F.col("d.id").alias("id")) \
+        .join(F.broadcast(named), "id") \
+        .filter(~F.col("full") | (F.col("cosine") >= FULL_THRESHOLD)) \
+        .filter(F.forall("groups", lambda g: F.arrays_overlap(g, F.col("marks")))
+                & ~F.arrays_overlap("lacks", "marks") & ~F.arrays_overlap("file_lacks", "file_marks")
+                & (F.size(F.array_except("file_needs", "file_marks")) == 0))
+    # of a unit the first of equal cosines; of a file a whole text before statements, and these
+    # before rights reserved, which stand beside any licence
+    best = allowed.groupBy(*unit).agg(F.max_by(
+        F.struct("licence", "cosine", "full", "unit_words", "file_words"),
+        F.struct("full", F.round("cosine", 12), -F.col("id"))).alias("b")).select("path", "b.*")
     top = F.max_by(F.struct("licence", "cosine", "unit_words", "file_words"),
-                   F.struct(F.round("cosine", 9), "licence", "unit_words"))
+                   F.struct("full", F.col("licence") != "Proprietary", F.round("cosine", 9), "licence", "unit_words"))
     return best.groupBy("path").agg(top.alias("b")).select(
         "path", "b.licence", "b.cosine",
         (F.col("b.unit_words") >= LICENCE_FILE_SHARE * F.col("b.file_words")).alias("whole"))
@@ -209,10 +281,11 @@ def inherit(files: DataFrame, own: DataFrame) -> DataFrame:
     }).drop("_dir", "_own", "_up")
 
 
-def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
+def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None,
          threshold: float = THRESHOLD) -> DataFrame:
     """``files`` (path, text, ...) without the text, with licence, cosine, origin (own,
-    directory or none) and licence_dir."""
+    directory or none) and licence_dir. The templates are all of this module and
+    ``license_templates``, or those given."""
     rows = files.withColumns({"path": F.coalesce(F.col("path").cast("string"), F.lit("")),
                               "text": F.col("text").cast("string")})
     own = own_licences(rows.select("path", "text"), templates, threshold)
