@@ -7,6 +7,7 @@ from .license_scan import OP8_SQL, op8_license_scan
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .ngram_join import OP7_SQL, op7_ngram_join
 from .packing import op6_best_fit_packing
+from .periodic_runs import op12_periodic_runs
 from .quality_classifier import op10_quality_classifier
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .substring_dedup import OP9_SQL, op9_substring_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_toxicity": op13_toxicity,
 }
 
