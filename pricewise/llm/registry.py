@@ -12,6 +12,7 @@ from .quality_classifier import op10_quality_classifier
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .substring_dedup import OP9_SQL, op9_substring_dedup
 from .suffix_dedup import OP2_SQL, op2_suffix_dedup
+from .token_alignment import op11_token_alignment
 from .toxicity import op13_toxicity
 from .warc import OP1_SQL, op1_warc
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_token_alignment": op11_token_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_toxicity": op13_toxicity,
 }

@@ -15,4 +15,4 @@ def test_query_matches_sql(spark, sf_small, name):
 
 def test_every_query_is_registered():
     found = entry.queries()
-    assert all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 11)) and "pipeline" in found
+    assert all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 14)) and "pipeline" in found
