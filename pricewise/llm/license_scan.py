@@ -5,9 +5,11 @@ and the sentences of both, which are compared with statements and headers, and t
 and the whole text without copyright lines, which are compared with whole licence texts. A unit and a template are sparse
 vectors of words, (1 + ln tf) * idf, with idf from the document frequencies of all files. The
 templates are a fixed list, so their words, weights and idf are a small table of fixed size;
-words outside it count with the idf of a word that no file holds. Of every template the heaviest words are its *anchors*: so many that a unit
-without any of them can't reach the threshold. Only units with an anchor of some template, or
-with a word that its licence requires, are compared.
+words outside it count with the idf of a word that no file holds. Of every template the heaviest
+words are its *anchors*: so many that a unit without any of them can't reach the threshold. A
+unit is compared only with the templates of whose anchors it holds one, by a sum over its own
+words in its row; texts are read, cut and compared in one stage, and only units that reach a
+threshold are shuffled.
 
 A file's licence is that of its best unit, if the cosine reaches ``THRESHOLD``, or
 ``FULL_THRESHOLD`` for a whole text, which goes before a statement in it. The unit must hold the
@@ -138,29 +140,29 @@ def anchors_of(weights: list[dict[str, float]], threshold: float,
     return sorted(out)
 
 
-def needed_words(weights: list[dict[str, float]], groups: list[list[list[str]]], threshold: float,
-                 idf: dict[str, float]) -> list[str]:
-    """Words of which a unit with any template's licence holds one: of each template its anchors
-    or one of its groups, whichever adds the fewest files."""
-    out: set[str] = set()
-    for w, own in zip(weights, groups):
-        choices = [anchors_of([w], threshold, idf), *own]
-        out.update(min(choices, key=lambda c: sum(math.exp(-idf.get(x, math.inf)) for x in c if x not in out)))
-    return sorted(out)
+def _of(kind: int, parts: Column) -> Column:
+    return F.transform(parts, lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("content")))
 
 
 def units_of(text: Column) -> Column:
-    """(kind, content): as statements the lines, the paragraphs of several lines and the sentences
-    of both, as bodies the same paragraphs and the whole text without copyright lines."""
-    lines = F.split(text, "\n")
+    """(kind, content): as statements the lines and the paragraphs of several lines, as bodies the
+    same paragraphs and the whole text without copyright lines. ``sentences`` adds to them."""
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n\s*"), lambda p: F.contains(p, F.lit("\n")))
-    cut = F.filter(F.transform(F.concat(lines, paragraphs), lambda x: F.split(x, SENTENCE_END)),
-                   lambda s: F.size(s) > 1)
-
-    def of(kind: int, parts: Column) -> Column:
-        return F.transform(parts, lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("content")))
     bodies = F.transform(F.array_append(paragraphs, text), lambda p: F.regexp_replace(p, COPYRIGHT_LINE, ""))
-    return F.concat(of(STATEMENT, F.concat(lines, paragraphs, F.flatten(cut))), of(BODY, bodies))
+    return F.concat(_of(STATEMENT, F.concat(F.split(text, "\n"), paragraphs)), _of(BODY, bodies))
+
+
+def sentences(unit: Column) -> Column:
+    """A unit and, of a statement, its sentences if it has several."""
+    cut = F.split(unit["content"], SENTENCE_END)
+    several = (unit["kind"] == STATEMENT) & (F.size(cut) > 1)
+    return F.concat(F.array(unit), F.when(several, _of(STATEMENT, cut)).otherwise(F.array().cast(
+        "array<struct<kind: int, content: string>>")))
+
+
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with a column that is computed once: filters on it stay above the generator."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
 def rules_of(template: tuple[str, str], full: bool, by_file: bool) -> tuple:
@@ -172,68 +174,116 @@ def rules_of(template: tuple[str, str], full: bool, by_file: bool) -> tuple:
     return [g for g in groups if own & set(g)], [x for x in lacks if x not in own], file_needs, file_lacks
 
 
+def _strings(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in sorted(words)]).cast("array<string>")
+
+
+def least_words(weights: dict[str, float], threshold: float) -> int:
+    """So many words of a template a unit must share at least to reach ``threshold``: its cosine is
+    at most the length of the template's part that it shares."""
+    need, n = threshold * threshold * (1 - 1e-9), 0
+    for v in sorted(weights.values(), reverse=True):
+        if need <= 0:
+            break
+        need -= v * v
+        n += 1
+    return n
+
+
+def template_table(spark: SparkSession, templates: list[tuple[str, str]], weights: list[dict[str, float]],
+                   rules: list[tuple], first_full: int, thresholds: list[float]) -> DataFrame:
+    """One row a template: its words by weight, what a unit must share, and its rules."""
+    rows = [(i, name, i >= first_full, thresholds[i], least_words(weights[i], thresholds[i]),
+             sorted(weights[i]), [weights[i][w] for w in sorted(weights[i])], *rules[i])
+            for i, (name, _) in enumerate(templates)]
+    return spark.createDataFrame(
+        rows, "id int, licence string, full boolean, least double, least_words int, t_words array<string>, "
+              "t_weights array<double>, groups array<array<string>>, lacks array<string>, "
+              "file_needs array<string>, file_lacks array<string>")
+
+
+def squared_terms(words: Column) -> Column:
+    """Sum of (1 + ln tf)^2 over the distinct words, in one pass over the sorted words."""
+    def add(state: Column, n: Column) -> Column:
+        return state + F.when(n > 0, F.pow(1.0 + F.log(n.cast("double")), 2)).otherwise(0.0)
+    start = F.struct(F.lit("").alias("word"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"))
+    return F.aggregate(
+        F.array_sort(words), start,
+        lambda s, w: F.when(s["word"] == w, F.struct(w.alias("word"), (s["n"] + 1).alias("n"), s["sum"].alias("sum")))
+        .otherwise(F.struct(w.alias("word"), F.lit(1).alias("n"), add(s["sum"], s["n"]).alias("sum"))),
+        lambda s: add(s["sum"], s["n"]))
+
+
 def own_licences(files: DataFrame, templates: list[tuple[str, str]] | None = None,
                  threshold: float = THRESHOLD) -> DataFrame:
     """(path, licence, cosine, whole) of the files with a unit like a template; ``whole`` if
-    the unit is at least half of the file's words."""
+    the unit is at least half of the file's words. Files, units and templates are compared
+    where the files are read; only units that reach a threshold are shuffled."""
     spark = files.sparkSession
     first, full = (FIRST, FULL) if templates is None else ([], [])
     short = [*first, *(TEMPLATES + MORE if templates is None else templates)]
     every = short + full
     idf, unknown = inverse_frequencies(files, every)
     weights = template_weights(every, idf)
+    thresholds = [threshold] * len(short) + [FULL_THRESHOLD] * len(full)
     rules = [rules_of(t, i >= len(short), i < len(first)) for i, t in enumerate(every)]
-    groups = [r[0] for r in rules]
-    short_anchors, full_anchors = (
-        F.array(*[F.lit(w) for w in needed_words(weights[part], groups[part], least, idf)]).cast("array<string>")
-        for part, least in ((slice(len(short)), threshold), (slice(len(short), None), FULL_THRESHOLD)))
-    marks = F.array(*[F.lit(w) for w in sorted({
-        w for groups, *others in rules for some in (*groups, *others) for w in some})]).cast("array<string>")
-    near = F.when(F.col("kind") == BODY, F.arrays_overlap("words", full_anchors)) \
+    anchors = [set(anchors_of([w], x)) for w, x in zip(weights, thresholds)]
+    short_anchors, full_anchors = (_strings(set().union(*part)) for part in (anchors[:len(short)], anchors[len(short):]))
+    marks = _strings({w for groups, *others in rules for some in (*groups, *others) for w in some})
+    near = F.when(F.col("u.kind") == BODY, F.arrays_overlap("words", full_anchors)) \
         .otherwise(F.arrays_overlap("words", short_anchors))
-    has_anchor = files.select("path", "text", words(F.col("text")).alias("all")) \
-        .filter(F.arrays_overlap("all", short_anchors) | F.arrays_overlap("all", full_anchors))
-    units = has_anchor.select("path", F.size("all").alias("file_words"),
-                              F.array_intersect("all", marks).alias("file_marks"),
-                              F.posexplode(units_of(F.col("text"))).alias("unit", "u")) \
-        .select("path", "file_words", "file_marks", "unit", "u.kind", words(F.col("u.content")).alias("words")) \
-        .filter(near)
-    unit = ["path", "unit"]
-    about = ["kind", "file_words", "unit_words", "file_marks", "marks"]
-    counted = units.select(*unit, "kind", "file_words", F.size("words").alias("unit_words"), "file_marks",
-                           F.array_intersect("words", marks).alias("marks"), F.explode("words").alias("word")) \
-        .groupBy(*unit, *about, "word").agg(F.count(F.lit(1)).alias("tf"))
-    # one row for each word of the templates: its idf, and its weight in the templates that hold it
-    table = spark.createDataFrame(
-        [(w, idf[w], [(i, t[w]) for i, t in enumerate(weights[:len(short)]) if w in t],
-          [(i, t[w]) for i, t in enumerate(weights) if i >= len(short) and w in t]) for w in idf],
-        "word string, idf double, short array<struct<id: int, t: double>>, full array<struct<id: int, t: double>>")
-    w = (F.lit(1.0) + F.log("tf")) * F.coalesce("idf", F.lit(unknown))
-    none = F.array().cast("array<struct<id: int, t: double>>")
-    held = F.coalesce(F.when(F.col("kind") == BODY, F.col("full")).otherwise(F.col("short")), none)
-    # the unit's own squared length goes along as template -1
-    terms = F.concat(F.array(F.struct(F.lit(-1).alias("id"), F.col("w").alias("t"))), held)
-    sums = counted.join(F.broadcast(table), "word", "left").withColumn("w", w) \
-        .select(*unit, *about, "w", F.explode(terms).alias("x")) \
-        .groupBy(*unit, *about, "x.id").agg(F.sum(F.col("w") * F.col("x.t")).alias("dot"))
-    scores = sums.groupBy(*unit, *about).agg(
-        F.max(F.when(F.col("id") == -1, F.sqrt("dot"))).alias("norm"),
-        F.collect_list(F.when(F.col("id") >= 0, F.struct("id", "dot"))).alias("dots")) \
-        .select("path", "unit", *about, F.explode("dots").alias("d"), (F.col("d.dot") / F.col("norm")).alias("cosine")) \
-        .filter(F.col("cosine") >= threshold)
-    named = spark.createDataFrame(
-        [(i, every[i][0], i >= len(short), *r) for i, r in enumerate(rules)],
-        "id int, licence string, full boolean, groups array<array<string>>, lacks array<string>, "
-        "file_needs array<string>, file_lacks array<string>")
-    allowed = scores.select("path", "unit", *about, "cosine", F.col("d.id").alias("id")) \
-        .join(F.broadcast(named), "id") \
-        .filter(~F.col("full") | (F.col("cosine") >= FULL_THRESHOLD)) \
-        .filter(F.forall("groups", lambda g: F.arrays_overlap(g, F.col("marks")))
-                & ~F.arrays_overlap("lacks", "marks") & ~F.arrays_overlap("file_lacks", "file_marks")
-                & (F.size(F.array_except("file_needs", "file_marks")) == 0))
+
+    # files, then units, then their sentences: each only if it holds an anchor
+    some = once(files.select("path", "text"), "all", words(F.col("text"))) \
+        .filter(F.arrays_overlap("all", short_anchors) | F.arrays_overlap("all", full_anchors)) \
+        .select("path", "text", F.size("all").alias("file_words"), F.array_intersect("all", marks).alias("file_marks"))
+    about = ["path", "file_words", "file_marks"]
+    units = some.select(*about, F.posexplode(units_of(F.col("text"))).alias("unit", "u"))
+    units = once(units, "words", words(F.col("u.content"))).filter(near) \
+        .select(*about, "unit", F.posexplode(sentences(F.col("u"))).alias("part", "u"))
+    units = once(units, "words", words(F.col("u.content"))).filter(near)
+
+    # a unit's known words with frequency and idf, and the square of its length
+    table = F.map_from_arrays(_strings(list(idf)), F.array(*[F.lit(idf[w]) for w in sorted(idf)]))
+    kept = F.transform(F.array_intersect("words", _strings(list(idf))), lambda w: F.struct(
+        w.alias("word"), (1.0 + F.log(F.size(F.filter("words", lambda x: x == w)).cast("double"))).alias("tf"),
+        F.element_at(table, w).alias("idf")))
+    units = once(units, "known", kept)
+    length = F.lit(unknown * unknown) * (squared_terms(F.col("words")) - F.aggregate(
+        "known", F.lit(0.0), lambda s, k: s + k["tf"] * k["tf"])) \
+        + F.aggregate("known", F.lit(0.0), lambda s, k: s + F.pow(k["tf"] * k["idf"], 2))
+    units = units.select(
+        *about, "unit", "part", "u.kind", F.size("words").alias("unit_words"), "known",
+        F.sqrt(F.greatest(F.lit(0.0), length)).alias("norm"), F.array_intersect("words", marks).alias("marks"),
+        F.when(F.col("u.kind") == BODY, F.array_intersect("words", full_anchors))
+        .otherwise(F.array_intersect("words", short_anchors)).alias("anchors"))
+
+    # an anchor names the templates that a unit with it may be like
+    named = sorted((w, int(i >= len(short)), i) for i, a in enumerate(anchors) for w in a)
+    ids: dict[tuple[str, int], list[int]] = {}
+    for w, kind, i in named:
+        ids.setdefault((w, kind), []).append(i)
+    by_anchor = [F.map_from_arrays(
+        F.array(*[F.lit(w) for w, k in ids if k == kind]).cast("array<string>"),
+        F.array(*[F.array(*[F.lit(i) for i in of]) for (_, k), of in ids.items() if k == kind])
+        .cast("array<array<int>>")) for kind in (STATEMENT, BODY)]
+    candidates = F.array_distinct(F.flatten(F.transform("anchors", lambda w: F.when(
+        F.col("kind") == BODY, F.element_at(by_anchor[BODY], w)).otherwise(F.element_at(by_anchor[STATEMENT], w)))))
+    pairs = units.select("*", F.explode(candidates).alias("id")) \
+        .join(F.broadcast(template_table(spark, every, weights, rules, len(short), thresholds)), "id")  # a fixed list
+    enough = F.size(F.array_intersect("t_words", F.transform("known", lambda k: k["word"]))) >= F.col("least_words")
+    dot = F.aggregate("known", F.lit(0.0), lambda s, k: s + F.coalesce(
+        k["tf"] * k["idf"] * F.get(F.col("t_weights"), (F.array_position("t_words", k["word"]) - 1).cast("int")),
+        F.lit(0.0)))
+    scores = once(pairs.filter(enough), "cosine", dot / F.col("norm")) \
+        .filter(F.col("cosine") >= F.col("least"))
+    allowed = scores.filter(
+        F.forall("groups", lambda g: F.arrays_overlap(g, F.col("marks")))
+        & ~F.arrays_overlap("lacks", "marks") & ~F.arrays_overlap("file_lacks", "file_marks")
+        & (F.size(F.array_except("file_needs", "file_marks")) == 0))
     # of a unit the first of equal cosines; of a file a whole text before statements, and these
     # before rights reserved, which stand beside any licence
-    best = allowed.groupBy(*unit).agg(F.max_by(
+    best = allowed.groupBy("path", "unit", "part").agg(F.max_by(
         F.struct("licence", "cosine", "full", "unit_words", "file_words"),
         F.struct("full", F.round("cosine", 12), -F.col("id"))).alias("b")).select("path", "b.*")
     top = F.max_by(F.struct("licence", "cosine", "unit_words", "file_words"),
