@@ -14,8 +14,12 @@ shingle within their prefixes (all but the last ``ceil(t * n)`` shingles, plus o
    that is already connected to the walking one needs no count;
 5. the links found are joined into components.
 
-A cluster of more than a few sets is dealt into chunks, and each pair of chunks is one tree
-and one set of walkers: the same links, in pieces of bounded size.
+A cluster of more than ``CHUNK_SETS`` sets is dealt into chunks. First every chunk is linked in
+itself and with the cluster's first chunk, three copies of a set in all. Then components are
+taken, and only sets outside a cluster's largest component are compared with the others: the
+links left out are between sets that are connected already. A group of near copies is about
+linear so; a cluster without a large component is compared pairwise, in chunks of
+``LATE_SETS``.
 
 Defined cases: rows are nodes, so repeated rows link with each other; null and empty texts, and
 texts without words, have an empty set and link with nothing; with fewer words than a shingle
@@ -31,7 +35,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checkpoint, materialize, read, text_bytes
@@ -40,15 +44,13 @@ from .fingerprints import (Size, answer, answers_of, blocks_of, distinct, emit,
                            pack_array, send, truncated, unpack_array, unpack_texts)
 from .textblock import Texts, ascii_lower, byte_sums, prefix_sums, range_hash
 
-#: A cluster is dealt into chunks of about SMALL_CHUNK sets, but MANY_CHUNKS at most until a
-#: chunk would hold more than CHUNK_SETS: every pair of chunks is a task's work, and every set
-#: is sent once for each chunk.
-SMALL_CHUNK, MANY_CHUNKS, CHUNK_SETS = 128, 16, 2000
+#: Sets of a chunk in the first round, and in the second.
+CHUNK_SETS, LATE_SETS = 128, 2000
 WORDS_PER_BYTE = 1 / 6
 
-_SETS = "doc_id long, n_shingles long, node binary, shingles binary, prefix array<long>"
-_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
-_NAMES = ["doc_id", "n_shingles", "node", "shingles", "prefix"]
+_SETS = "doc_id long, text_key binary, n_shingles long, node binary, shingles binary, prefix array<long>"
+_TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+_NAMES = ["doc_id", "text_key", "n_shingles", "node", "shingles", "prefix"]
 
 
 def shingles(t: Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +190,7 @@ def link(sets: list[list[int]], sizes: list[int], percent: int, left: int) -> Fo
     return forest
 
 
-def _settle(percent: int, words: int, bits: int) -> Callable:
+def _settle(percent: int, words: int, bits: int, keyed: bool) -> Callable:
     def run(block_id: int, left: pa.Table, right: pa.Table) -> pa.Table:
         t, _ = unpack_texts(left.column("payload")[0].as_py())
         doc, h = shingles(t, words)
@@ -201,12 +203,13 @@ def _settle(percent: int, words: int, bits: int) -> Callable:
         rows = []
         for i, doc_id in enumerate(t.id_list()):
             if n[i] == 0 or prefix[i] < 1:
-                rows.append((doc_id, int(n[i]), None, None, None))
+                rows.append((doc_id, None, int(n[i]), None, None, None))
                 continue
             own = h[first[i]:first[i] + n[i]]
             c = cls[first[i]:first[i] + n[i]]
             shared = own[c > 0][np.lexsort((own[c > 0], c[c > 0]))]
-            rows.append((doc_id, int(n[i]), hashlib.blake2b(own.tobytes(), digest_size=16).digest(),
+            key = hashlib.md5(t.text(i)).digest() if keyed else None
+            rows.append((doc_id, key, int(n[i]), hashlib.blake2b(own.tobytes(), digest_size=16).digest(),
                          shared.tobytes() + np.sort(c[c > 0]).tobytes(),
                          shared[: prefix[i]].view(np.int64).tolist()))
         columns = list(zip(*rows)) if rows else [[]] * len(_NAMES)
@@ -260,8 +263,9 @@ def _ranked(packed: list[bytes]) -> list[list[int]]:
     return [r.tolist() for r in np.split(rank, np.cumsum(sizes)[:-1])]
 
 
-def shingle_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row per document; ``node`` is null where it can link with nothing."""
+def shingle_sets(docs: DataFrame, words: int, percent: int, keyed: bool = False) -> DataFrame:
+    """One row per document; ``node`` is null where it can link with nothing. ``text_key`` is the
+    text's MD5, if asked for, else null."""
     size = Size.of(docs, text_bytes(docs), WORDS_PER_BYTE)
     bits, buckets = size.filter_bits, size.buckets
     blocks = blocks_of(docs, size.partitions)
@@ -272,7 +276,7 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
         yield from send(block_id, keys, bits, buckets, lambda part: pack_array(n[part] - 1))
 
     classes = answer(emit(blocks, send_shingles), size, frequency_class)
-    return join_answers(blocks, classes, _settle(percent, words, bits), _SETS)
+    return join_answers(blocks, classes, _settle(percent, words, bits, keyed), _SETS)
 
 
 def prefix_clusters(sets: DataFrame) -> DataFrame:
@@ -286,35 +290,82 @@ def prefix_clusters(sets: DataFrame) -> DataFrame:
     return components(edges)
 
 
-def links(sets: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS) -> DataFrame:
+def _linked(groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the links found in ``groups`` (cluster, low, high, chunk, node, n, shingles)."""
+    key = ["cluster", "low", "high"]
+    return groups.repartition(*key).sortWithinPartitions(*key) \
+        .mapInArrow(_join_groups(percent), "a binary, b binary")
+
+
+def _dealt(members: DataFrame, spans: Column) -> DataFrame:
+    """Each set once for every (low, high) pair of chunks in its ``spans``."""
+    return members.select(F.col("root").alias("cluster"), "chunk", "node", F.col("n_shingles").alias("n"),
+                          "shingles", F.explode(spans).alias("s")) \
+        .select("cluster", "s.low", "s.high", "chunk", "node", "n", "shingles")
+
+
+def _span(a: Column, b: Column) -> Column:
+    return F.struct(F.least(a, b).cast("int").alias("low"), F.greatest(a, b).cast("int").alias("high"))
+
+
+def _up_to(n: Column) -> Column:
+    """0 to n - 1."""
+    return F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def first_round(members: DataFrame) -> DataFrame:
+    """Every chunk in itself and with the cluster's first one."""
+    zero, chunk = F.lit(0), F.col("chunk")
+    return _dealt(members, F.when(chunk == 0, F.transform(_up_to(F.col("chunks")), lambda k: _span(zero, k)))
+                  .otherwise(F.array(_span(chunk, chunk), _span(zero, chunk))))
+
+
+def second_round(members: DataFrame, found: DataFrame, late_sets: int) -> DataFrame:
+    """In clusters of three chunks and more, the sets outside the largest component of ``found``
+    with all sets of other components."""
+    many = members.filter(F.col("chunks") > 2).select("root", "node", "n_shingles", "shingles")
+    part = components(found).withColumnRenamed("root", "part")
+    placed = many.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    sizes = placed.groupBy("root", "part").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("root").agg(F.sum("k").alias("total"), F.max(F.struct("k", "part")).alias("m")) \
+        .filter(F.col("total") > F.col("m.k")) \
+        .select("root", F.col("m.part").alias("main"), F.ceil(F.col("m.k") / late_sets).alias("mains"),
+                F.ceil((F.col("total") - F.col("m.k")) / late_sets).alias("rests"))
+    rest, bucket = F.col("part") != F.col("main"), F.xxhash64("node")
+    dealt = placed.join(main, "root").withColumn("chunk", F.when(
+        rest, F.col("mains") + F.pmod(bucket, F.col("rests"))).otherwise(F.pmod(bucket, F.col("mains"))).cast("int"))
+    rests = F.transform(_up_to(F.col("rests")), lambda i: _span(F.col("chunk"), F.col("mains") + i))
+    mains = F.transform(_up_to(F.col("mains")), lambda i: _span(F.col("chunk"), i))
+    return _dealt(dealt, F.when(rest, F.concat(mains, rests)).otherwise(rests))
+
+
+def links(sets: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS, late_sets: int = LATE_SETS) -> DataFrame:
     """(a, b): links of at least ``percent``, enough of them to connect what all would."""
     clusters = prefix_clusters(sets)
-    n = F.count(F.lit(1))
-    chunks = clusters.groupBy("root").agg(
-        F.greatest(F.least(F.ceil(n / F.lit(SMALL_CHUNK)), F.lit(MANY_CHUNKS)),
-                   F.ceil(n / F.lit(chunk_sets))).cast("int").alias("chunks"))
+    chunks = clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk_sets)).cast("int").alias("chunks"))
     members = sets.join(clusters, "node").join(chunks, "root") \
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    pairs = members.select("root", "node", "n_shingles", "shingles", "chunk", other.alias("other"))
-    groups = pairs.select(F.col("root").alias("cluster"), F.least("chunk", "other").alias("low"),
-                          F.greatest("chunk", "other").alias("high"), "chunk", "node",
-                          F.col("n_shingles").alias("n"), "shingles")
-    key = ["cluster", "low", "high"]
-    return groups.repartition(*key).sortWithinPartitions(*key) \
-        .mapInArrow(_join_groups(percent), "a binary, b binary")
+    found = checkpoint(_linked(first_round(members), percent))
+    if chunks.filter(F.col("chunks") > 2).isEmpty():
+        return found
+    return found.unionByName(_linked(second_round(members, found, late_sets), percent))
+
+
+def _placed(rows: DataFrame, percent: int, chunk_sets: int, late_sets: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, root) of the rows of ``shingle_sets`` that can link."""
+    linkable = rows.filter(F.col("node").isNotNull())
+    sets = linkable.select("node", "n_shingles", "shingles", "prefix").dropDuplicates(["node"])
+    found = components(links(sets, percent, chunk_sets, late_sets))
+    return linkable.select("doc_id", "text_key", "n_shingles", "node").join(found, "node", "left") \
+        .withColumn("root", F.coalesce("root", "node"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
-                    chunk_sets: int = CHUNK_SETS) -> DataFrame:
+                    chunk_sets: int = CHUNK_SETS, late_sets: int = LATE_SETS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: components of links with
     100 * intersection >= percent * union."""
     rows = materialize(shingle_sets(docs, words, percent), "shingle-sets")
-    linkable = rows.filter(F.col("node").isNotNull())
-    sets = linkable.select("node", "n_shingles", "shingles", "prefix").dropDuplicates(["node"])
-    found = components(links(sets, percent, chunk_sets))
-    placed = linkable.select("doc_id", "n_shingles", "node").join(found, "node", "left") \
-        .withColumn("root", F.coalesce("root", "node"))
+    placed = _placed(rows, percent, chunk_sets, late_sets)
     # a table of its own, so that a component of many rows can be split in the join
     smallest = checkpoint(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     linked = placed.join(smallest, "root").select("doc_id", "n_shingles", "component_id")
@@ -324,12 +375,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs``, all columns, with one document of each component: that of the smallest
-    doc_id. Repeated rows stay once. Rows without doc_id can't be told apart and all stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), words, percent)
-    drop = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id")) \
-        .filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    """``docs``, all columns, with one row of each component: that of the smallest doc_id, then
+    of the smallest MD5 of its text; of several such rows, which are the same document, any one.
+    Rows that link with nothing all stay, rows without words and equal ones too, and so do rows
+    without doc_id, which can't be told apart; the latter don't stand for others."""
+    rows = materialize(shingle_sets(docs.select("doc_id", "text"), words, percent, keyed=True), "shingle-sets")
+    placed = _placed(rows, percent, CHUNK_SETS, LATE_SETS).filter(F.col("doc_id").isNotNull())
+    row = F.struct("doc_id", "text_key")
+    stays = checkpoint(placed.groupBy("root").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n"))
+                       .filter(F.col("n") > 1).select("root", "first"))
+    ruled = checkpoint(placed.join(stays, "root").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+                       .agg(F.max(row == F.col("first")).alias("_kept"), F.count(F.lit(1)).alias("_rows"))
+                       .filter(~F.col("_kept") | (F.col("_rows") > 1)))
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.unhex(F.md5(F.col("text").cast("string")))})
+    others = keyed.join(ruled, ["_id", "_key"], "left_anti")
+    repeated = ruled.filter("_kept").select("_id", "_key")
+    once = keyed.join(repeated, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    return others.unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

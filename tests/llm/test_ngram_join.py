@@ -1,7 +1,10 @@
+import hashlib
 import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest_llm import ODD_TEXTS, WORDS, prose
@@ -12,7 +15,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def brute(rows, k, percent):
+def sets_and_groups(rows, k, percent):
+    """Each row's shingles, and the number of its component."""
     sets = []
     for _, t in rows:
         w = WORD.findall((t or "").translate(LOWER))
@@ -30,12 +34,16 @@ def brute(rows, k, percent):
                 both = len(sets[a] & sets[b])
                 if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     up[max(find(a), find(b))] = min(find(a), find(b))
+    return sets, [find(i) for i in range(len(rows))]
+
+
+def brute(rows, k, percent):
+    sets, group = sets_and_groups(rows, k, percent)
     low = {}
-    for i, (doc_id, _) in enumerate(rows):
+    for r, (doc_id, _) in zip(group, rows):
         if doc_id is not None:
-            r = find(i)
             low[r] = min(low.get(r, doc_id), doc_id)
-    return Counter((rows[i][0], len(sets[i]), low.get(find(i))) for i in range(len(rows)))
+    return Counter((rows[i][0], len(sets[i]), low.get(group[i])) for i in range(len(rows)))
 
 
 def corpus(seed, families=8, copies=12):
@@ -57,16 +65,89 @@ def corpus(seed, families=8, copies=12):
     return rows + [rows[0], rows[30], (None, texts[31]), (None, "only here"), (None, "only here"), (rows[2][0], texts[40])]
 
 
-@pytest.mark.parametrize("words,percent,chunk_sets", [(4, 85, 2000), (5, 80, 5), (2, 60, 7)])
-def test_components_match_brute_force(docs_of, words, percent, chunk_sets):
+@pytest.mark.parametrize("words,percent,chunk_sets,late_sets", [
+    (4, 85, 2000, 2000), (5, 80, 5, 2000), (2, 60, 7, 3), (5, 80, 2, 4)])
+def test_components_match_brute_force(docs_of, words, percent, chunk_sets, late_sets):
     rows = corpus(words)
     df = docs_of(rows).selectExpr("*", "'x' as node", "1 as n_shingles", "2 as root")
-    got = j.near_duplicates(df, words, percent, chunk_sets).collect()
+    got = j.near_duplicates(df, words, percent, chunk_sets, late_sets).collect()
     want = brute(rows, words, percent)
     assert Counter(tuple(r) for r in got) == want
     assert len({c for _, _, c in want}) < len(rows) - 20
 
 
+def kept_rows(rows, words, percent):
+    """What stays of ``rows`` by the rule of ``one_of_each``, row by row."""
+    _, label = sets_and_groups(rows, words, percent)
+    best = {}
+    for k, (i, t) in enumerate(rows):
+        if i is not None:
+            place = (i, hashlib.md5((t or "").encode()).digest())
+            best[label[k]] = min(best.get(label[k], (place, k)), (place, k))
+    return Counter(r for k, r in enumerate(rows) if r[0] is None or best[label[k]][1] == k)
+
+
+def test_one_of_each_decides_by_row(docs_of):
+    base = " ".join(WORDS)
+    a, b, c = base, "other " * 3 + "words here of no one else", base[6:] + " nothing near it"
+    near = base.replace("omega", "end")
+    probe = [(1, a), (5, a), (5, b), (None, c), (None, c)]
+    out = j.one_of_each(docs_of(probe))
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([(1, a), (5, b), (None, c), (None, c)])
+    probe = [(7, a), (7, a), (7, near), (8, near), (9, ""), (9, ""), (9, None), (None, a), (3, "one two"), (3, "one two")]
+    out = j.one_of_each(docs_of(probe), 5, 70)
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == kept_rows(probe, 5, 70)
+
+
+def test_one_of_each_matches_brute_force(docs_of):
+    rows = corpus(9)
+    out = j.one_of_each(docs_of(rows).selectExpr("*", "'x' as node", "1 as root", "2 as text_key"))
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == kept_rows(rows, 5, 80)
+    assert out.columns[-3:] == ["node", "root", "text_key"]
+
+
+def test_a_large_group_of_near_copies_is_about_linear(spark, monkeypatch):
+    """20,000 sets that all lie in one cluster: what is sent in both rounds stays below a small
+    multiple, and the links connect them all."""
+    n, size = 20_000, 60
+    sent = []
+    real = j._linked
+
+    def counted(groups, percent):
+        sent.append(groups.count())
+        return real(groups, percent)
+    monkeypatch.setattr(j, "_linked", counted)
+
+    def rows(batches):
+        for b in batches:
+            for k in b.column("id").to_pylist():
+                # one shingle of its own in each set, the others are those of all
+                own = np.array([*range(size - 1), 10**6 + k], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k.to_bytes(16, "big")]), pa.array([size]),
+                     pa.array([own.tobytes() + bytes([200] * (size - 1) + [1])]), pa.array([[0, 1]], pa.list_(pa.int64()))],
+                    ["node", "n_shingles", "shingles", "prefix"])
+    sets = spark.range(0, n, 1, 8).mapInArrow(rows, "node binary, n_shingles long, shingles binary, prefix array<long>")
+    found = components(j.links(sets, 85))
+    assert found.count() == n and found.select("root").distinct().count() == 1
+    assert sum(sent) <= 4 * n
+
+
+def test_a_cluster_without_a_large_component_loses_no_link(docs_of):
+    """Sets that share boilerplate in their prefixes but link in small groups only."""
+    rng = random.Random(12)
+    shared = [" ".join(rng.sample(WORDS, 8)) for _ in range(6)]
+    rows = []
+    for k in range(90):
+        w = prose(rng, 50).split()
+        for c in range(rng.choice([1, 2, 3])):
+            v = list(w)
+            v[rng.randrange(len(v))] = f"c{k}{c}"
+            rows.append((len(rows), " ".join(v + rng.sample(shared, 2))))
+    got = j.near_duplicates(docs_of(rows), 3, 75, 4, 5).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 3, 75)
+
+
 def test_empty_tables(docs_of):
     assert j.near_duplicates(docs_of([])).count() == 0
     assert [tuple(r) for r in j.near_duplicates(docs_of([(3, None), (4, "")])).collect()] in (
