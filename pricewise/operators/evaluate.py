@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .features import FEATURES, FeatureSpec
+from .features import FEATURES, FeatureSpec, fitted_slot_names
 
 
 def metric_columns(label: str, prediction: str, suffix: str = "") -> list:
@@ -65,14 +65,14 @@ def feature_importances(model: PipelineModel, spec: FeatureSpec, scored: DataFra
     """(feature, importance) of the last stage, named slot by slot, sorted high to low.
 
     Slot order is fixed by the assembler: categorical slots (flags, indexed strings,
-    int categoricals) then scaled numerics. The slot count that ``scored`` (a frame the
+    int categoricals), one-hot slots, then scaled numerics. The slot count that ``scored`` (a frame the
     model has transformed) carries in its ``ml_attr`` metadata is checked against the names.
     """
     learner = model.stages[-1]
     if not hasattr(learner, "featureImportances"):
         raise TypeError(f"{type(learner).__name__} has no feature importances")
     values = learner.featureImportances.toArray().tolist()
-    names = list(spec.slot_names)
+    names = list(fitted_slot_names(spec, model))
     n_attrs = scored.schema[FEATURES].metadata.get("ml_attr", {}).get("num_attrs")
     if n_attrs is not None and n_attrs != len(names):
         raise ValueError(f"features has {n_attrs} slots, spec names {len(names)}")

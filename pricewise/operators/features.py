@@ -1,13 +1,11 @@
-"""Feature encoding (E1-E7): string index, categorical vector + VectorIndexer,
-numeric vector + MinMaxScaler, final concatenation.
+"""Feature encoding (E1-E7): string index, categorical vector + VectorIndexer, one-hot
+vectors, numeric vector + MinMaxScaler or StandardScaler, final concatenation.
 
 All stages are Spark ML built-ins. Fits are distributed aggregates: label counts
 (partial aggregation per task, so a hot label costs one row per task), bounded
-distinct-value sets per slot, and a min/max summary. What reaches the driver is
-bounded where a limit holds (a tree's maxBins, or the spec's ``max_labels``): label
-lists are checked against it with a HyperLogLog sketch *before* StringIndexer collects
-them. Without a limit (factorization machines) a label list is as long as the column's
-distinct values, as in any StringIndexer."""
+distinct-value sets per slot, and a min/max or mean/deviation summary. What reaches the
+driver is bounded (by a tree's maxBins and the spec's ``max_labels``): label lists are
+checked against the limit with a HyperLogLog sketch *before* StringIndexer collects them."""
 
 from __future__ import annotations
 
@@ -15,20 +13,23 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import MinMaxScaler, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer,
+                                VectorAssembler, VectorIndexer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CAT_VEC = "catFeatures"
-CAT_IDX_VEC = "idxCatFeatures"
-NUM_VEC = "numFeatures"
-NORM_VEC = "normFeatures"
+CAT_VEC = "cat_vec"
+CAT_IDX_VEC = "cat_index_vec"
+NUM_VEC = "num_vec"
+NORM_VEC = "scaled_vec"
 FEATURES = "features"
 INDEX_SUFFIX = "_idx"
-
+HOT_SUFFIX = "_hot"
 
 SKETCH_RSD = 0.05
+#: Longest label list that is collected, unless a caller raises it.
+MAX_LABELS = 100_000
 
 
 class CardinalityError(ValueError):
@@ -41,7 +42,11 @@ class FeatureSpec:
 
     ``flags`` (0/1 ints) come first in the categorical vector, then the indexed
     string columns, then ``int_categorical`` (already-numeric categoricals such as
-    date parts); numerics are min-max scaled and appended after them.
+    date parts); the one-hot vectors of ``one_hot`` follow, then the scaled numerics.
+
+    With ``drop_last`` a one-hot column has no slot for its last label (the rarest one, or the
+    unseen ones under ``keep``), whose rows are zero there. ``scaler`` is ``minmax``, or
+    ``standard`` for mean 0 and sample deviation 1; a constant column becomes 0.5 or 0.
     """
     label: str
     categorical: tuple[str, ...] = ()
@@ -50,36 +55,50 @@ class FeatureSpec:
     numeric: tuple[str, ...] = ()
     max_categories: int = 20
     handle_invalid: str = "error"      # error | keep | skip
-    max_labels: int | None = None      # refuse label lists longer than this (opt-in)
+    max_labels: int = MAX_LABELS       # refuse label lists longer than this
+    one_hot: tuple[str, ...] = ()
+    drop_last: bool = True
+    scaler: str = "minmax"             # minmax | standard
 
     def __post_init__(self):
         if self.handle_invalid not in ("error", "keep", "skip"):
             raise ValueError("handle_invalid must be error, keep or skip")
-        if not (self.categorical or self.flags or self.int_categorical or self.numeric):
+        if self.scaler not in ("minmax", "standard"):
+            raise ValueError("scaler must be minmax or standard")
+        if not self.input_columns:
             raise ValueError("a FeatureSpec needs at least one input column")
 
     @property
     def indexed(self) -> tuple[str, ...]:
         return tuple(c + INDEX_SUFFIX for c in self.categorical)
 
+    @property
+    def labelled(self) -> tuple[str, ...]:
+        """Columns whose label lists are learnt."""
+        return self.categorical + self.one_hot
+
     @property
     def cat_inputs(self) -> tuple[str, ...]:
         return self.flags + self.indexed + self.int_categorical
 
     @property
     def slot_names(self) -> tuple[str, ...]:
-        """Source column behind every slot of the final ``features`` vector."""
-        return self.flags + self.categorical + self.int_categorical + self.numeric
+        """Source column behind every slot of the final ``features`` vector. One-hot slots are
+        known after fitting only: ``fitted_slot_names``."""
+        if self.one_hot:
+            raise ValueError("one-hot slots are named by fitted_slot_names")
+        return self.input_columns
 
     @property
     def input_columns(self) -> tuple[str, ...]:
-        return self.flags + self.categorical + self.int_categorical + self.numeric
+        return self.flags + self.categorical + self.int_categorical + self.one_hot + self.numeric
 
 
 def encoder_stages(spec: FeatureSpec) -> list:
     stages: list = []
-    if spec.categorical:
-        stages.append(StringIndexer(inputCols=list(spec.categorical), outputCols=list(spec.indexed),
+    if spec.labelled:
+        stages.append(StringIndexer(inputCols=list(spec.labelled),
+                                    outputCols=[c + INDEX_SUFFIX for c in spec.labelled],
                                     handleInvalid=spec.handle_invalid,
                                     stringOrderType="frequencyDesc"))
     # "keep" gives unseen labels an index; a missing number has none, so it stays an error
@@ -92,10 +111,17 @@ def encoder_stages(spec: FeatureSpec) -> list:
                                     maxCategories=spec.max_categories,
                                     handleInvalid=spec.handle_invalid))
         parts.append(CAT_IDX_VEC)
+    if spec.one_hot:
+        hot = [c + HOT_SUFFIX for c in spec.one_hot]
+        # unseen labels have an index of their own under "keep", so none is invalid here
+        stages.append(OneHotEncoder(inputCols=[c + INDEX_SUFFIX for c in spec.one_hot], outputCols=hot,
+                                    dropLast=spec.drop_last, handleInvalid="error"))
+        parts += hot
     if spec.numeric:
         stages.append(VectorAssembler(inputCols=list(spec.numeric), outputCol=NUM_VEC,
                                       handleInvalid=vec_invalid))
-        stages.append(MinMaxScaler(inputCol=NUM_VEC, outputCol=NORM_VEC))
+        stages.append(MinMaxScaler(inputCol=NUM_VEC, outputCol=NORM_VEC) if spec.scaler == "minmax"
+                      else StandardScaler(inputCol=NUM_VEC, outputCol=NORM_VEC, withMean=True, withStd=True))
         parts.append(NORM_VEC)
     stages.append(VectorAssembler(inputCols=parts, outputCol=FEATURES))
     return stages
@@ -116,10 +142,9 @@ def check_cardinality(df: DataFrame, cols: Sequence[str], limit: int | None) ->
     return est
 
 
-def label_limit_of(spec: FeatureSpec, label_limit: int | None = None) -> int | None:
-    """The smaller of the learner's limit (maxBins) and the caller's; None: no limit."""
-    limits = [n for n in (label_limit, spec.max_labels) if n is not None]
-    return min(limits) if limits else None
+def label_limit_of(spec: FeatureSpec, label_limit: int | None = None) -> int:
+    """The smaller of the learner's limit (maxBins) and the spec's."""
+    return spec.max_labels if label_limit is None else min(label_limit, spec.max_labels)
 
 
 def fit_encoders(train: DataFrame, spec: FeatureSpec, label_limit: int | None = None,
@@ -128,15 +153,26 @@ def fit_encoders(train: DataFrame, spec: FeatureSpec, label_limit: int | None =
     caller already checked a superset of these rows (folds of a checked table)."""
     limit = label_limit_of(spec, label_limit)
     if precheck:
-        check_cardinality(train, spec.categorical, limit)
+        check_cardinality(train, spec.labelled, limit)
     model = Pipeline(stages=encoder_stages(spec)).fit(train)
-    if spec.categorical and limit is not None:
-        for col, labels in zip(spec.categorical, model.stages[0].labelsArray):
+    if spec.labelled:
+        for col, labels in zip(spec.labelled, model.stages[0].labelsArray):
             if len(labels) > limit:
                 raise CardinalityError(f"column {col!r} has {len(labels)} labels > {limit}")
     return model
 
 
+def fitted_slot_names(spec: FeatureSpec, model: PipelineModel) -> tuple[str, ...]:
+    """Name of every slot of ``features``: the source column, or ``column=label`` of a one-hot
+    slot (``column=`` for unseen labels)."""
+    labels = dict(zip(spec.labelled, model.stages[0].labelsArray)) if spec.labelled else {}
+    hot: list[str] = []
+    for c in spec.one_hot:
+        own = [*labels[c], ""] if spec.handle_invalid == "keep" else list(labels[c])
+        hot += [f"{c}={x}" for x in (own[:-1] if spec.drop_last else own)]
+    return spec.flags + spec.categorical + spec.int_categorical + tuple(hot) + spec.numeric
+
+
 def nominal_slots(df: DataFrame, col: str = FEATURES) -> dict[int, int]:
     """{slot index: number of categories} from the vector's ML attribute metadata."""
     meta = df.schema[col].metadata.get("ml_attr", {})
@@ -150,7 +186,7 @@ def nominal_slots(df: DataFrame, col: str = FEATURES) -> dict[int, int]:
 
 def check_bins(encoded: DataFrame, spec: FeatureSpec, max_bins: int) -> None:
     """Trees need maxBins >= categories of every nominal slot; fail early, by name."""
-    names = spec.slot_names
+    names = spec.flags + spec.categorical + spec.int_categorical  # nominal slots come first
     bad = {names[i] if i < len(names) else str(i): n
            for i, n in nominal_slots(encoded).items() if n > max_bins}
     if bad:

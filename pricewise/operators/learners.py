@@ -1,15 +1,17 @@
-"""Regressors (R1-R5) with explicit seeds, and the reference's parameter presets.
+"""Regressors (R1-R5), linear models and a tree classifier with explicit seeds, and the
+reference's parameter presets.
 
-Training is MLlib's own distributed tree induction / FM solver: per-partition
-sufficient statistics combined with treeAggregate, so no learner ever gathers
-rows into one task."""
+Training is MLlib's own distributed tree induction, FM solver, normal equations or
+quasi-Newton steps: per-partition sufficient statistics combined with treeAggregate, so no
+learner ever gathers rows into one task."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegressor,
-                                   RandomForestRegressor)
+                                   LinearRegression, RandomForestRegressor)
 
 from .features import FEATURES
 
@@ -20,16 +22,20 @@ LEARNERS = {
     "rf": RandomForestRegressor,
     "gbt": GBTRegressor,
     "fm": FMRegressor,
+    "linreg": LinearRegression,
+    "logreg": LogisticRegression,
+    "dtc": DecisionTreeClassifier,
 }
-TREE_KINDS = ("dt", "rf", "gbt")
+TREE_KINDS = ("dt", "rf", "gbt", "dtc")
 
 
 def make_learner(kind: str, label: str, seed: int = DEFAULT_SEED, features: str = FEATURES,
                  prediction: str = "prediction", **params):
     if kind not in LEARNERS:
         raise KeyError(f"unknown learner {kind!r}; choose from {sorted(LEARNERS)}")
-    est = LEARNERS[kind](labelCol=label, featuresCol=features, predictionCol=prediction,
-                         seed=seed)
+    est = LEARNERS[kind](labelCol=label, featuresCol=features, predictionCol=prediction)
+    if est.hasParam("seed"):  # linear models draw nothing
+        est = est.setParams(seed=seed)
     if kind in TREE_KINDS:
         est = est.setCheckpointInterval(10)
     if params:

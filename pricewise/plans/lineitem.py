@@ -82,6 +82,20 @@ SEARCH_SPEC = FeatureSpec(label=LABEL, numeric=("l_discount",))
 SMALL_SPEC = FeatureSpec(label=LABEL, numeric=("l_quantity", "l_discount", "l_tax"))
 
 
+# The numerics to mean 0 and deviation 1 (linear models); one slot for each label.
+STANDARD_SPEC = FeatureSpec(label=LABEL, numeric=("l_quantity", "l_discount", "l_extendedprice"),
+                            scaler="standard")
+ONE_HOT_SPEC = FeatureSpec(label=LABEL, one_hot=("l_returnflag", "l_linestatus", "line_label"))
+GROUP_SPEC = FeatureSpec(label=LABEL, one_hot=("line_label",))
+
+# Classification: the discount flag by the cell as one label, and a flag that depends on a
+# numeric of 11 values, so that the tree's leaves predict different classes.
+FLAG = "is_discounted"
+FLAG_CELL_SPEC = FeatureSpec(label=FLAG, one_hot=("cell",))
+MIDDLE = "is_middle"
+MIDDLE_SPEC = FeatureSpec(label=MIDDLE, numeric=("l_discount",))
+
+
 def raw_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference-shaped rows."""
     return shape(read_table(spark, sf_dir, "lineitem"))
@@ -105,6 +119,14 @@ def prepared_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(raw_frame(spark, sf_dir), PREPARE)
 
 
+def with_classes(prepared: DataFrame) -> DataFrame:
+    """Prepared rows with the (returnflag, linestatus) cell as one label, and a flag for
+    discounts of 3 to 7 percent, turned round where the quantity is 10 or less."""
+    middle = F.round(F.col("l_discount") * 100).between(3, 7)
+    return prepared.withColumn("cell", F.concat_ws("/", "l_returnflag", "l_linestatus")) \
+        .withColumn(MIDDLE, (middle != (F.col("l_quantity") <= 10)).cast("int"))
+
+
 def prepared_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1000
                     ) -> DataFrame:
     """The same prepared rows as a file stream of the lineitem table: its path is one file or
@@ -129,7 +151,8 @@ def train_and_test(spark: SparkSession, sf_dir: str, spec: FeatureSpec, ratio: f
     """(train, test) rows by key hash, with the columns that ``spec`` needs. Training rows
     are spread by the hash of their key over partitions whose number depends on the table
     only; test rows are scored where they are."""
-    train, test = hash_split(pruned(prepared_frame(spark, sf_dir), spec), KEY, ratio)
+    rows = with_classes(prepared_frame(spark, sf_dir))
+    train, test = hash_split(pruned(rows, spec), KEY, ratio)
     n = read_table(spark, sf_dir, "lineitem").count()  # from the files' footers
     return spread(train, KEY, spread_partitions(n)), test
 

@@ -162,17 +162,17 @@ def _search_cte(p: str, src: str) -> str:
   ORDER BY c.sl * c.sl / c.nl + (t.st - c.sl) * (t.st - c.sl) / (t.nt - c.nl) DESC LIMIT 1)"""
 
 
-def stump_model(p: str, src: str, col: str) -> Model:
+def stump_model(p: str, src: str, col: str, label: str = "price") -> Model:
     """Depth-1 tree on one column."""
-    return (f"{p}_v AS (SELECT {col} AS v, count(*) AS n, sum(price) AS s FROM {src} GROUP BY {col}),\n"
+    return (f"{p}_v AS (SELECT {col} AS v, count(*) AS n, sum({label}) AS s FROM {src} GROUP BY {col}),\n"
             + _search_cte(p, f"{p}_v"),
             f"CASE WHEN v.{col} <= {p}.thr THEN {p}.pl ELSE {p}.pr END")
 
 
-def depth2_model(p: str, src: str, col: str) -> Model:
+def depth2_model(p: str, src: str, col: str, label: str = "price") -> Model:
     """Depth-2 tree on one column: the search at the root, then again inside each side. A
     side with one distinct value stays a leaf."""
-    root, _ = stump_model(f"{p}_r", src, col)
+    root, _ = stump_model(f"{p}_r", src, col, label)
     sides = []
     for side, op in (("l", "<="), ("g", ">")):
         sides.append(f"{p}_{side}v AS (SELECT x.* FROM {p}_r_v x CROSS JOIN {p}_r r WHERE x.v {op} r.thr),\n"
@@ -363,21 +363,11 @@ gains AS (SELECT f, gain FROM root UNION ALL SELECT f, gain FROM child)"""
 FROM (VALUES {names}) t(f) LEFT JOIN gains g ON g.f = t.f GROUP BY t.f""")
 
 
-def test_metrics_cte() -> str:
-    """Test R²/RMSE of the cell-mean model (m0) and the train-mean model (m1)."""
-    return f"""tcell AS (SELECT {_CK}, avg(price) AS p FROM train GROUP BY {_CK}),
-tglob AS (SELECT avg(price) AS p FROM train),
-tm AS (SELECT 1 - avg(power(v.price - c.p, 2)) / var_pop(v.price) AS r2_0,
-              sqrt(avg(power(v.price - c.p, 2))) AS rmse_0,
-              1 - avg(power(v.price - g.p, 2)) / var_pop(v.price) AS r2_1,
-              sqrt(avg(power(v.price - g.p, 2))) AS rmse_1,
-              count(*) AS n
-       FROM test v JOIN tcell c ON {_CK_JOIN} CROSS JOIN tglob g)"""
-
-
 def eval_metrics_sql() -> str:
-    return with_prep_ctes(test_metrics_cte(),
-                          "SELECT round(r2_0, 8) AS r2, round(rmse_0, 4) AS rmse, n FROM tm")
+    """R² and RMSE of the cells' training means over the test rows."""
+    cell = f"cell AS (SELECT {_CK}, avg(price) AS p FROM train GROUP BY {_CK})"
+    return with_prep_ctes(cell, f"""SELECT round(1 - avg(power(v.price - c.p, 2)) / var_pop(v.price), 8) AS r2,
+       round(sqrt(avg(power(v.price - c.p, 2))), 4) AS rmse, count(*) AS n FROM test v JOIN cell c ON {_CK_JOIN}""")
 
 
 # ---------------------------------------------------------------- registry
