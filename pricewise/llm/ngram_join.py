@@ -16,10 +16,10 @@ shingle within their prefixes (all but the last ``ceil(t * n)`` shingles, plus o
 
 A cluster of more than ``CHUNK_SETS`` sets is dealt into chunks. First every chunk is linked in
 itself and with the cluster's first chunk, three copies of a set in all. Then components are
-taken, and only sets outside a cluster's largest component are compared with the others: the
-links left out are between sets that are connected already. A group of near copies is about
-linear so; a cluster without a large component is compared pairwise, in chunks of
-``LATE_SETS``.
+taken, and only sets that share a prefix shingle with another component are compared again,
+those outside a cluster's largest component with the others: the links left out are between
+sets that are connected already. A group of near copies is about linear so; what is left of a
+cluster without a large component is compared pairwise, in chunks of ``LATE_SETS``.
 
 Defined cases: rows are nodes, so repeated rows link with each other; null and empty texts, and
 texts without words, have an empty set and link with nothing; with fewer words than a shingle
@@ -297,10 +297,12 @@ def _linked(groups: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(_join_groups(percent), "a binary, b binary")
 
 
-def _dealt(members: DataFrame, spans: Column) -> DataFrame:
-    """Each set once for every (low, high) pair of chunks in its ``spans``."""
-    return members.select(F.col("root").alias("cluster"), "chunk", "node", F.col("n_shingles").alias("n"),
-                          "shingles", F.explode(spans).alias("s")) \
+def _dealt(sets: DataFrame, placed: DataFrame, spans: Column) -> DataFrame:
+    """Each set of ``placed`` (node, root, chunk, ...) once for every (low, high) pair of chunks in
+    its ``spans``."""
+    of = placed.select("node", F.col("root").alias("cluster"), "chunk", spans.alias("spans"))
+    return sets.select("node", F.col("n_shingles").alias("n"), "shingles").join(of, "node") \
+        .select("cluster", "chunk", "node", "n", "shingles", F.explode("spans").alias("s")) \
         .select("cluster", "s.low", "s.high", "chunk", "node", "n", "shingles")
 
 
@@ -313,42 +315,56 @@ def _up_to(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def first_round(members: DataFrame) -> DataFrame:
+def first_round(sets: DataFrame, placed: DataFrame) -> DataFrame:
     """Every chunk in itself and with the cluster's first one."""
     zero, chunk = F.lit(0), F.col("chunk")
-    return _dealt(members, F.when(chunk == 0, F.transform(_up_to(F.col("chunks")), lambda k: _span(zero, k)))
+    return _dealt(sets, placed, F.when(chunk == 0, F.transform(_up_to(F.col("chunks")), lambda k: _span(zero, k)))
                   .otherwise(F.array(_span(chunk, chunk), _span(zero, chunk))))
 
 
-def second_round(members: DataFrame, found: DataFrame, late_sets: int) -> DataFrame:
+def _open(sets: DataFrame, parted: DataFrame) -> DataFrame:
+    """The rows of ``parted`` (node, root, part) that share a prefix shingle with a set of another
+    part: no other can have a link that matters."""
+    tokens = sets.select("node", F.explode("prefix").alias("token")).join(parted.select("node", "part"), "node")
+    shared = tokens.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")) \
+        .filter(F.col("low") != F.col("high")).select("token")
+    return parted.join(tokens.join(shared, "token").select("node").distinct(), "node")
+
+
+def second_round(sets: DataFrame, placed: DataFrame, found: DataFrame, late_sets: int) -> DataFrame:
     """In clusters of three chunks and more, the sets outside the largest component of ``found``
-    with all sets of other components."""
-    many = members.filter(F.col("chunks") > 2).select("root", "node", "n_shingles", "shingles")
+    with all sets of other components, as far as they share prefix shingles."""
     part = components(found).withColumnRenamed("root", "part")
-    placed = many.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    sizes = placed.groupBy("root", "part").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("root").agg(F.sum("k").alias("total"), F.max(F.struct("k", "part")).alias("m")) \
-        .filter(F.col("total") > F.col("m.k")) \
+    parted = checkpoint(placed.filter(F.col("chunks") > 2).select("node", "root").join(part, "node", "left")
+                        .select("node", "root", F.coalesce("part", "node").alias("part")))
+    parted = checkpoint(_open(sets, parted))
+    sizes = parted.groupBy("root", "part").agg(F.count(F.lit(1)).alias("k"))
+    main = materialize(
+        sizes.groupBy("root").agg(F.sum("k").alias("total"), F.max(F.struct("k", "part")).alias("m"))
         .select("root", F.col("m.part").alias("main"), F.ceil(F.col("m.k") / late_sets).alias("mains"),
-                F.ceil((F.col("total") - F.col("m.k")) / late_sets).alias("rests"))
+                F.ceil((F.col("total") - F.col("m.k")) / late_sets).alias("rests")), "open-clusters")
     rest, bucket = F.col("part") != F.col("main"), F.xxhash64("node")
-    dealt = placed.join(main, "root").withColumn("chunk", F.when(
+    dealt = parted.join(main, "root").withColumn("chunk", F.when(
         rest, F.col("mains") + F.pmod(bucket, F.col("rests"))).otherwise(F.pmod(bucket, F.col("mains"))).cast("int"))
     rests = F.transform(_up_to(F.col("rests")), lambda i: _span(F.col("chunk"), F.col("mains") + i))
     mains = F.transform(_up_to(F.col("mains")), lambda i: _span(F.col("chunk"), i))
-    return _dealt(dealt, F.when(rest, F.concat(mains, rests)).otherwise(rests))
+    return _dealt(sets, dealt, F.when(rest, F.concat(mains, rests)).otherwise(rests))
 
 
 def links(sets: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS, late_sets: int = LATE_SETS) -> DataFrame:
     """(a, b): links of at least ``percent``, enough of them to connect what all would."""
     clusters = prefix_clusters(sets)
-    chunks = clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk_sets)).cast("int").alias("chunks"))
-    members = sets.join(clusters, "node").join(chunks, "root") \
+    # the few clusters of several chunks are a small table of their own, so that a cluster of
+    # many sets is no hot key of the join
+    large = materialize(
+        clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk_sets)).cast("int").alias("chunks"))
+        .filter(F.col("chunks") > 1), "large-clusters")
+    placed = clusters.join(large, "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))) \
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    found = checkpoint(_linked(first_round(members), percent))
-    if chunks.filter(F.col("chunks") > 2).isEmpty():
+    found = checkpoint(_linked(first_round(sets, placed), percent))
+    if large.filter(F.col("chunks") > 2).isEmpty():
         return found
-    return found.unionByName(_linked(second_round(members, found, late_sets), percent))
+    return found.unionByName(_linked(second_round(sets, placed, found, late_sets), percent))
 
 
 def _placed(rows: DataFrame, percent: int, chunk_sets: int, late_sets: int) -> DataFrame:
