@@ -5,7 +5,10 @@ dictionary, followed by one frame per WARC record, as the public .warc.zst conve
 it. Every archive is one output file of Spark's text writer: a row is a whole frame, and
 the writer's line separator is itself an empty skippable frame, which every Zstandard
 reader steps over. So archives reach any file system that Spark writes to, through its
-commit protocol, and a lost executor or a second attempt leaves no half archive.
+commit protocol, and a lost executor or a second attempt leaves no half archive. A task begins a new
+archive after ``ARCHIVE_BYTES`` of records (uncompressed; a longer record is alone): the writer
+begins a file every ``ARCHIVE_ROWS`` rows, and an archive is filled up to that with empty
+skippable frames.
 
 Of records with equal payloads the one with the smallest page_id is a ``response`` and the
 others are ``revisit`` records that carry only the HTTP header; its Content-Length is the
@@ -21,7 +24,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import pyarrow as pa
 import zstandard
@@ -43,6 +46,8 @@ TYPES = ("warcinfo", "response", "revisit", "resource", "request", "metadata", "
 CHUNK = 1 << 16
 #: The dictionary of an archive is trained on at most so many records and bytes at its head.
 SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 4 << 20, 32 << 10
+#: An archive's bytes of records, and the rows (frames) that make one file.
+ARCHIVE_BYTES, ARCHIVE_ROWS = 1 << 30, 1 << 16
 
 RECORD_SCHEMA = ("archive string, frame_offset long, record_type string, record_id string, "
                  "target_uri string, page_id long, payload_bytes long, payload_digest string, "
@@ -118,22 +123,42 @@ def archive_frames(records: Iterable[bytes], level: int) -> Iterator[bytes]:
         yield compressor.compress(r)
 
 
-def _writer(date: str, level: int) -> Callable:
+def rolled_frames(records: Iterator[tuple[str, bytes]], date: str, level: int, limit: int,
+                  rows: int) -> Iterator[bytes]:
+    """Frames of as many archives as (name, record) ``records`` fill. Every archive begins with a
+    warcinfo record named after its first page; all but the last have ``rows`` frames."""
+    info = b"software: spark warc writer\r\nformat: WARC File Format 1.1\r\n"
+    ahead = next(records, None)
+
+    def one() -> Iterator[bytes]:
+        nonlocal ahead
+        yield _record("warcinfo", f"urn:archive:{ahead[0]}", date, info, [], "application/warc-fields")
+        size = n = 0
+        # beside these a dictionary and a warcinfo frame
+        while ahead is not None and n < rows - 2 and (n == 0 or size + len(ahead[1]) <= limit):
+            size, n = size + len(ahead[1]), n + 1
+            yield ahead[1]
+            ahead = next(records, None)
+
+    while ahead is not None:
+        n = 0
+        for frame in archive_frames(one(), level):
+            yield frame
+            n += 1
+        if ahead is not None:
+            yield from repeat(EMPTY_FRAME.encode("latin-1"), rows - n)
+
+
+def _writer(date: str, level: int, limit: int, archive_rows: int) -> Callable:
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def records() -> Iterator[bytes]:
-            any_row = False
+        def records() -> Iterator[tuple[str, bytes]]:
             for b in batches:
                 for row in zip(*(b.column(c).to_pylist()
                                  for c in ("page_id", "url", "html", "first"))):
-                    if not any_row:
-                        info = b"software: spark warc writer\r\nformat: WARC File Format 1.1\r\n"
-                        yield _record("warcinfo", f"urn:archive:{row[0]}", date, info, [],
-                                      "application/warc-fields")
-                        any_row = True
-                    yield page_record(*row, date)
+                    yield str(row[0]), page_record(*row, date)
         held: list[bytes] = []
         size = 0
-        for frame in archive_frames(records(), level):
+        for frame in rolled_frames(records(), date, level, limit, archive_rows):
             held.append(frame)
             size += len(frame)
             if size >= 1 << 20:
@@ -145,7 +170,7 @@ def _writer(date: str, level: int) -> Callable:
 
 
 def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z",
-               level: int = 3) -> str:
+               level: int = 3, archive_bytes: int = ARCHIVE_BYTES, archive_rows: int = ARCHIVE_ROWS) -> str:
     """Write ``pages`` (page_id, url, html) as archives in the folder ``path``."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
                         F.col("html").cast("string"),
@@ -154,8 +179,9 @@ def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z",
     # the left of the join only, where adaptive execution splits them
     firsts = rows.groupBy("digest").agg(F.min("page_id").alias("first"))
     frames = rows.join(firsts, "digest").select("page_id", "url", "html", "first") \
-        .mapInArrow(_writer(date, level), "frame binary")
-    frames.select(F.col("frame").cast("string")).write.option("lineSep", EMPTY_FRAME).text(path)
+        .mapInArrow(_writer(date, level, archive_bytes, archive_rows), "frame binary")
+    frames.select(F.col("frame").cast("string")).write.option("lineSep", EMPTY_FRAME) \
+        .option("maxRecordsPerFile", archive_rows).text(path)
     return path
 
 

@@ -47,6 +47,32 @@ def test_round_trip(spark):
     assert {r.target_uri for r in got if r.page_id is None} == {"http://null%0D%0AX:%20y", None}
 
 
+@pytest.mark.parametrize("limit,rows", [(20_000, 64), (1 << 30, 5), (1, 3), (3_000, 1000)])
+def test_archives_roll(spark, limit, rows):
+    """Every file is an archive of its own, of bounded size, and nothing is lost between them."""
+    data = [(i, f"http://x/{i}", f"<p>{i % 40} some words of a page</p>" * (1 + i % 9)) for i in range(200)]
+    data += [(900, "http://big", "y" * 100_000)]
+    path = warc.write_warc(pages(spark, data).repartition(2), fresh_path(spark, "t"),
+                           archive_bytes=limit, archive_rows=rows)
+    got = warc.read_warc(spark, path).collect()
+    assert key([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+                for r in got if r.record_type != "warcinfo"]) == key(brute(data))
+    per = {}
+    for r in got:
+        n, size, info = per.get(r.archive, (0, 0, 0))
+        per[r.archive] = (n + 1, size + (r.payload_bytes or 0) * (r.record_type == "response"), info + (r.record_type == "warcinfo"))
+    assert all(info == 1 and n <= rows - 1 for n, _, info in per.values()) and len(per) > 2
+    assert all(size <= limit or n == 2 for n, size, _ in per.values())
+
+
+def test_a_long_page(spark):
+    """Twelve MB in one page, as response and as revisit."""
+    rows = [(1, "http://a", "long page " * 1_200_000), (2, "http://b", "long page " * 1_200_000), (3, None, "z")]
+    path = warc.write_warc(pages(spark, rows), fresh_path(spark, "t"))
+    got = warc.read_warc(spark, path, with_payload=False).filter("record_type != 'warcinfo'").collect()
+    assert key([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got]) == key(brute(rows))
+
+
 def test_empty_table(spark):
     path = warc.write_warc(pages(spark, []), fresh_path(spark, "t"))
     assert warc.read_warc(spark, path).count() == 0
