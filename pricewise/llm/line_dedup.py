@@ -1,19 +1,23 @@
 """Line dedup over levelled sorted runs of line keys.
 
-The store of known lines is a set of *runs*: Parquet tables of (key hash, owner), sorted by
-hash within hash partitions. A batch of documents is ingested in three steps: its distinct
-keys are gathered with the smallest doc_id of each (map-side aggregation, so a line that a
-third of all documents hold is one row per task), they are merge-anti-joined with the runs,
-and the rest becomes a new run of level 0. When a level holds ``fanout`` runs they are
-compacted into one run of the next level, so the store has a logarithmic number of runs.
-Batches come in ascending doc_id, so the owner of a key is the smallest doc_id that holds it.
+The documents' line keys are gathered in one scan and written by batch; batches ascend in
+doc_id, and their number grows with the texts' bytes. The store of known lines is a set of
+*runs*: tables of (key hash, owner), bucketed and sorted by hash, all with the same buckets. A
+batch is ingested in three steps: its distinct keys are gathered with the smallest doc_id of
+each (map-side aggregation, so a line that a third of all documents hold is one row per task),
+they are merge-anti-joined with one run after the other, which needs no exchange on either
+side once the batch is dealt into the same buckets, and the rest becomes a new run of level 0.
+When a level holds ``fanout`` runs they are compacted, bucket by bucket, into one run of the
+next level, so the store has a logarithmic number of runs. As batches ascend, the owner of a
+key is the smallest doc_id that holds it.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z in lower case. Keys of
 at least 10 code points keep their lines in the owner only. Key hashes are 128 bits.
 
 Defined cases: a null or empty text is one empty line; rows with the same doc_id are one
 document; rows without doc_id are one document that comes last; extra columns are not read
-by the query (``drop_repeated_lines`` hands them on).
+by the query (``drop_repeated_lines`` hands them on). What a row loses is gathered by doc_id and
+hash of its text, so a doc_id of many rows, or none, is no group of its own.
 """
 
 from __future__ import annotations
@@ -23,19 +27,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh_path, read
+from .common import fresh_path, read, shuffle_partitions, text_bytes
 from .textblock import (SEPARATOR, Texts, ascii_lower, batch_slices, byte_sums,
                         range_hash, slices)
 
 MIN_KEY_CHARS = 10
 #: Stands for a missing doc_id: after every other.
 LAST = 2**63 - 1
-RUN_SCHEMA = "h1 long, h2 long, owner long"
 KEY = ["h1", "h2"]
+#: Bytes of texts that make a batch, and batches that there are at least.
+BATCH_BYTES, LEAST_BATCHES = 8 << 30, 4
+#: Bytes of texts for each bucket of a run.
+BUCKET_BYTES = 64 << 20
 
 
 def line_hashes(t: Texts) -> tuple[np.ndarray, ...]:
@@ -58,67 +66,111 @@ def owner_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
 
 
-def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for t in slices(batches):
-        _, _, doc, counts, h1, h2 = line_hashes(t)
-        who = np.where(t.null_id, LAST, t.ids)[doc]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a[counts]) for a in (who, h1, h2)], ["who", "h1", "h2"])
+def text_hash() -> Column:
+    """As ``_text_hashes`` of the texts (null ones as empty)."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def keyed_lines(docs: DataFrame) -> DataFrame:
-    """(who, h1, h2) of every line whose key counts."""
+def _text_hashes(t: Texts) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(t.text(i), seed=42) for i in range(len(t))], np.uint64).view(np.int64)
+
+
+def _keyed(bounds: list[int]):
+    """Batches are numbered by the doc_ids at which they begin."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in slices(batches):
+            _, _, doc, counts, h1, h2 = line_hashes(t)
+            doc = doc[counts]
+            who = np.where(t.null_id, LAST, t.ids)
+            batch = np.searchsorted(np.array(bounds, dtype=np.int64), who, side="right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a) for a in (who[doc], _text_hashes(t)[doc], h1[counts], h2[counts], batch[doc])],
+                ["who", "part", "h1", "h2", "batch"])
+    return run
+
+
+KEYED_SCHEMA = "who long, part long, h1 long, h2 long, batch int"
+
+
+def keyed_lines(docs: DataFrame, bounds: list[int]) -> DataFrame:
+    """(who, part, h1, h2, batch) of every line whose key counts; (who, part) are a row's doc_id
+    and its text's hash. Written by batch, so that each batch is read by itself."""
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_keyed, "who long, h1 long, h2 long")
+    path = fresh_path(spark, "line-keys")
+    rows.mapInArrow(_keyed(bounds), KEYED_SCHEMA).write.partitionBy("batch").parquet(path)
+    return spark.read.schema(KEYED_SCHEMA).parquet(path)
 
 
 @dataclass
 class LevelledRuns:
-    """Sorted runs of (h1, h2, owner) in the shared folder. The list of runs is the only state
-    on the driver: one path per run."""
+    """Sorted runs of (h1, h2, owner) in the shared folder, as tables of ``buckets`` buckets. The
+    list of runs is the only state on the driver: a table name per run."""
     spark: SparkSession
     folder: str
     fanout: int = 4
+    buckets: int = 8
     levels: list[list[str]] = field(default_factory=list)
     written: int = 0
+    compactions: int = 0
 
     def _write(self, rows: DataFrame, level: int) -> None:
-        path = f"{self.folder}/level{level}-run{self.written}"
+        """``rows`` are dealt into the buckets already."""
+        name = "line_run_" + self.folder.rsplit("-", 1)[-1] + f"_{level}_{self.written}"
         self.written += 1
-        rows.sortWithinPartitions(*KEY).write.parquet(path)
+        rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY) \
+            .option("path", f"{self.folder}/{name}").saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(name)
+
+    def runs(self) -> list[str]:
+        return [r for level in self.levels for r in level]
 
-    def paths(self) -> list[str]:
-        return [p for level in self.levels for p in level]
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.buckets, *KEY)
 
     def known(self) -> DataFrame:
         """Every known key with its owner; a key is in one run only."""
-        paths = self.paths()
-        if not paths:
-            return self.spark.createDataFrame([], RUN_SCHEMA)
-        return self.spark.read.schema(RUN_SCHEMA).parquet(*paths)
+        out = self.spark.createDataFrame([], "h1 long, h2 long, owner long")
+        for run in self.runs():
+            out = out.unionByName(self.spark.table(run))
+        return out
+
+    def fresh(self, batch: DataFrame) -> DataFrame:
+        """(h1, h2, owner) of the keys of ``batch`` (who, h1, h2) that no run holds."""
+        out = self.dealt(batch.groupBy(*KEY).agg(F.min("who").alias("owner")))
+        for run in self.runs():
+            out = out.join(self.spark.table(run).select(*KEY).hint("merge"), KEY, "left_anti")
+        return out
 
     def ingest(self, batch: DataFrame) -> None:
-        """Add the keys of ``batch`` (who, h1, h2) that no run holds."""
-        fresh = batch.groupBy(*KEY).agg(F.min("who").alias("owner"))
-        if self.paths():
-            fresh = fresh.join(self.known().select(*KEY).hint("merge"), KEY, "left_anti")
-        self._write(fresh, 0)
+        """Add the keys of ``batch`` that no run holds."""
+        self._write(self.fresh(batch), 0)
         self.compact()
 
     def compact(self) -> None:
-        """Merge the runs of every level that is full into one of the next level."""
+        """Merge the runs of every level that is full into one of the next level. The merged runs
+        leave the catalogue; their files go with the folder (``session.remove_scratch``)."""
         for level, runs in enumerate(self.levels):
             if len(runs) >= self.fanout:
-                merged = self.spark.read.schema(RUN_SCHEMA).parquet(*runs)
+                merged = self.spark.table(runs[0])
+                for run in runs[1:]:
+                    merged = merged.unionByName(self.spark.table(run))
                 self.levels[level] = []
-                self._write(merged.repartition(*KEY), level + 1)
+                self._write(self.dealt(merged), level + 1)
+                self.compactions += 1
+                for run in runs:
+                    self.spark.sql(f"DROP TABLE {run}")
                 return self.compact()
         return None
 
 
+def batches_of(total: int, least: int = LEAST_BATCHES, batch_bytes: int = BATCH_BYTES) -> int:
+    """Number of batches of texts of ``total`` bytes."""
+    return max(least, -(-total // batch_bytes))
+
+
 def batch_bounds(docs: DataFrame, batches: int) -> list[int]:
     """doc_ids at which batches begin, by approximate quantiles: balance only, any bounds
     give the same result."""
@@ -129,25 +181,24 @@ def batch_bounds(docs: DataFrame, batches: int) -> list[int]:
     return sorted({int(x) for x in found or []})
 
 
-def ingest_all(docs: DataFrame, batches: int = 4, fanout: int = 4) -> LevelledRuns:
-    """Runs over all lines of ``docs``, in batches of ascending doc_id."""
+def ingest_all(docs: DataFrame, batches: int | None = None, fanout: int = 4) -> tuple[LevelledRuns, DataFrame]:
+    """Runs over all lines of ``docs``, in batches of ascending doc_id, and the keyed lines."""
     spark = docs.sparkSession
-    runs = LevelledRuns(spark, fresh_path(spark, "line-runs"), fanout)
-    bounds = batch_bounds(docs, batches)
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        part = docs
-        if low is not None:
-            part = part.filter(owner_id() >= low)
-        if high is not None:
-            part = part.filter(owner_id() < high)
-        runs.ingest(keyed_lines(part))
-    return runs
+    total = text_bytes(docs)
+    bounds = batch_bounds(docs, batches or batches_of(total))
+    buckets = int(max(shuffle_partitions(spark), -(-total // BUCKET_BYTES)))
+    runs = LevelledRuns(spark, fresh_path(spark, "line-runs"), fanout, buckets)
+    keyed = keyed_lines(docs, bounds)
+    for batch in range(len(bounds) + 1):
+        runs.ingest(keyed.filter(F.col("batch") == batch))
+    return runs, keyed
 
 
-def repeated_lines(docs: DataFrame, runs: LevelledRuns) -> DataFrame:
-    """(who, gone): per document the keys of its lines that another document owns."""
-    hits = keyed_lines(docs).join(runs.known(), KEY).filter(F.col("owner") != F.col("who"))
-    return hits.groupBy("who").agg(F.collect_set(F.struct(*KEY)).alias("gone"))
+def repeated_lines(keyed: DataFrame, runs: LevelledRuns) -> DataFrame:
+    """(who, part, gone): per document and text the keys of its lines that another document
+    owns. Keys and runs are dealt anew, so that a key of many lines can be split."""
+    hits = keyed.join(runs.known(), KEY).filter(F.col("owner") != F.col("who"))
+    return hits.groupBy("who", "part").agg(F.collect_set(F.struct(*KEY)).alias("gone"))
 
 
 def _drop_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,27 +227,27 @@ def _drop_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(dropped.astype(np.int64)), pa.array(texts, pa.binary()).cast(pa.string())], names)
 
 
-def drop_repeated_lines(docs: DataFrame, batches: int = 4, fanout: int = 4) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, batches: int | None = None, fanout: int = 4) -> DataFrame:
     """(doc, n_lines, n_dropped, kept_text): the other columns of every row of ``docs`` as
     the struct ``doc``, and what its lines come to."""
-    runs = ingest_all(docs.select("doc_id", "text"), batches, fanout)
-    gone = repeated_lines(docs.select("doc_id", "text"), runs)
+    runs, keyed = ingest_all(docs.select("doc_id", "text"), batches, fanout)
+    gone = repeated_lines(keyed, runs)
     other = F.struct("doc_id", *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
     rows = docs.select(other.alias("doc"), F.col("doc_id").cast("long"),
-                       F.col("text").cast("string"), owner_id().alias("who"))
-    joined = rows.join(gone, "who", "left").select("doc", "doc_id", "text", "gone")
+                       F.col("text").cast("string"), owner_id().alias("who"), text_hash().alias("part"))
+    joined = rows.join(gone, ["who", "part"], "left").select("doc", "doc_id", "text", "gone")
     schema = T.StructType([joined.schema["doc"], T.StructField("n_lines", T.LongType()),
                            T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())])
     return joined.mapInArrow(_drop_lines, schema)
 
 
-def line_counts(docs: DataFrame, batches: int = 4, fanout: int = 4) -> DataFrame:
+def line_counts(docs: DataFrame, batches: int | None = None, fanout: int = 4) -> DataFrame:
     """Per document: lines, lines dropped, and the kept text."""
     return drop_repeated_lines(docs.select("doc_id", "text"), batches, fanout).select(
         F.col("doc.doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", "kept_text")
 
 
-def without_repeated_lines(docs: DataFrame, batches: int = 4, fanout: int = 4) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, batches: int | None = None, fanout: int = 4) -> DataFrame:
     """``docs`` with the kept lines as their text, and n_chars (if there) of that text. A
     document of which nothing but white space is left goes."""
     rows = drop_repeated_lines(docs, batches, fanout)
