@@ -207,3 +207,53 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
+#: A run of period q >= 4 has 12 words at its start that stand again q words later (3q >= 12),
+#: so such pairs name every period to scan in a document; periods 1 to 3 are scanned in all.
+OP12_SQL = r"""
+WITH raw AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+hashed AS (
+    SELECT r, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda s, b: list_reduce(list_prepend(xor(s, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+               lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h
+    FROM raw WHERE doc_id IS NOT NULL),
+sized AS (SELECT raw.*, CAST(len(words) AS BIGINT) AS n, h, h // 10 AS g FROM raw LEFT JOIN hashed USING (r)),
+marked AS (
+    SELECT r, doc_id, words, n, coalesce(h % 10 = 0, false) AS chosen, CASE WHEN n > 0 THEN g % n END AS a, g FROM sized),
+periods AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM marked),
+words AS (
+    SELECT r, n, i, words[1 + CASE WHEN chosen AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+    FROM (SELECT *, unnest(range(0, n)) AS i FROM periods)),
+docs AS (SELECT r, n, list(word ORDER BY i) AS words FROM words GROUP BY r, n),
+grams AS (
+    SELECT r, n, i, array_to_string(words[i + 1:i + 12], ' ') AS gram
+    FROM (SELECT r, n, words, unnest(range(0, n - 11)) AS i FROM docs WHERE n >= 16)),
+lags AS (
+    SELECT r, unnest([1, 2, 3])::BIGINT AS q FROM docs
+    UNION SELECT x.r, y.i - x.i FROM grams x JOIN grams y ON x.r = y.r AND x.gram = y.gram
+    WHERE y.i - x.i >= 4 AND 4 * (y.i - x.i) <= x.n),
+equal AS (
+    SELECT l.r, l.q, x.i FROM lags l JOIN words x ON x.r = l.r JOIN words y ON y.r = l.r AND y.i = x.i + l.q
+    WHERE x.word = y.word),
+stretches AS (
+    SELECT r, q, min(i) AS s, count(*) + q AS len
+    FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM equal)
+    GROUP BY r, q, island),
+runs AS (SELECT r, s, len, min(q) AS q FROM stretches WHERE len >= greatest(6, 4 * q) GROUP BY r, s, len),
+best AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY len / q DESC, s, q) AS place FROM runs)
+    WHERE place = 1),
+listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS text
+    FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.len AS length, best.q AS period,
+       CAST(1000 * best.len // best.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM raw LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""

@@ -7,7 +7,7 @@ from .license_scan import OP8_SQL, op8_license_scan
 from .line_dedup import OP4_SQL, op4_line_dedup
 from .ngram_join import OP7_SQL, op7_ngram_join
 from .packing import op6_best_fit_packing
-from .periodic_runs import op12_periodic_runs
+from .periodic_runs import OP12_SQL, op12_periodic_runs
 from .quality_classifier import op10_quality_classifier
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .substring_dedup import OP9_SQL, op9_substring_dedup
@@ -40,4 +40,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_ngram_join": OP7_SQL,
     "op8_license_scan": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
+    "op12_periodic_runs": OP12_SQL,
 }
