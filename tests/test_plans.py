@@ -1,4 +1,5 @@
 """Plan-shape regression tests: the scale claims in the README, as assertions."""
+import os
 import re
 
 import pytest
@@ -69,3 +70,18 @@ def test_a_failed_search_leaves_nothing_cached(spark, sf_small):
         tu.cross_validate(spark, train.selectExpr("*", "0 as fold"), li.CELL_SPEC, est, [{}], li.KEY, 2)
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
     assert StorageLevel.NONE == train.storageLevel
+
+
+def test_entry_without_a_package_of_the_corpus_part():
+    """A missing package of the optional part leaves the rest, with a warning that names it."""
+    import subprocess
+    import sys
+    code = ("import sys, warnings; sys.modules['zstandard'] = None\n"
+            "with warnings.catch_warnings(record=True) as w:\n"
+            "    warnings.simplefilter('always'); import __spark_entry__ as e\n"
+            "assert 'linreg_predict' in e.queries() and 'op1_warc' not in e.queries()\n"
+            "assert not any('op' == k[:2] and k[2].isdigit() for k in e.oracle_sql())\n"
+            "import os\n"
+            "assert not os.path.isdir('pricewise/llm') or any('zstandard' in str(x.message) for x in w)\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
