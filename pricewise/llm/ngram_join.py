@@ -325,7 +325,8 @@ def first_round(sets: DataFrame, placed: DataFrame) -> DataFrame:
 def _open(sets: DataFrame, parted: DataFrame) -> DataFrame:
     """The rows of ``parted`` (node, root, part) that share a prefix shingle with a set of another
     part: no other can have a link that matters."""
-    tokens = sets.select("node", F.explode("prefix").alias("token")).join(parted.select("node", "part"), "node")
+    tokens = sets.select("node", "prefix").join(parted.select("node", "part"), "node") \
+        .select("node", "part", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")) \
         .filter(F.col("low") != F.col("high")).select("token")
     return parted.join(tokens.join(shared, "token").select("node").distinct(), "node")
@@ -335,9 +336,10 @@ def second_round(sets: DataFrame, placed: DataFrame, found: DataFrame, late_sets
     """In clusters of three chunks and more, the sets outside the largest component of ``found``
     with all sets of other components, as far as they share prefix shingles."""
     part = components(found).withColumnRenamed("root", "part")
-    parted = checkpoint(placed.filter(F.col("chunks") > 2).select("node", "root").join(part, "node", "left")
-                        .select("node", "root", F.coalesce("part", "node").alias("part")))
-    parted = checkpoint(_open(sets, parted))
+    # tables of their own: where they are small, Spark sends them to the sets, not the sets to them
+    parted = materialize(placed.filter(F.col("chunks") > 2).select("node", "root").join(part, "node", "left")
+                         .select("node", "root", F.coalesce("part", "node").alias("part")), "cluster-parts")
+    parted = materialize(_open(sets, parted), "open-parts")
     sizes = parted.groupBy("root", "part").agg(F.count(F.lit(1)).alias("k"))
     main = materialize(
         sizes.groupBy("root").agg(F.sum("k").alias("total"), F.max(F.struct("k", "part")).alias("m"))
@@ -348,7 +350,9 @@ def second_round(sets: DataFrame, placed: DataFrame, found: DataFrame, late_sets
         rest, F.col("mains") + F.pmod(bucket, F.col("rests"))).otherwise(F.pmod(bucket, F.col("mains"))).cast("int"))
     rests = F.transform(_up_to(F.col("rests")), lambda i: _span(F.col("chunk"), F.col("mains") + i))
     mains = F.transform(_up_to(F.col("mains")), lambda i: _span(F.col("chunk"), i))
-    return _dealt(sets, dealt, F.when(rest, F.concat(mains, rests)).otherwise(rests))
+    spans = F.when(rest, F.concat(mains, rests)).otherwise(rests)
+    dealt = materialize(dealt.select("node", "root", "chunk", spans.alias("spans")), "open-chunks")
+    return _dealt(sets, dealt, F.col("spans"))
 
 
 def links(sets: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS, late_sets: int = LATE_SETS) -> DataFrame:
