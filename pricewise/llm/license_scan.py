@@ -43,8 +43,8 @@ WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 SENTENCE_END = r"(?<=[.!?])[\"')]*[\s#*/;%!-]+(?=[\"'(]*[A-Z])"
 LICENCE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([.\-_].*)?$"
 
-#: Licence statements and standard file headers by licence. These alone are in
-#: the SQL; ``license_templates`` has the others.
+#: Licence statements and standard file headers by licence; ``license_templates``
+#: has the others.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
@@ -351,45 +351,76 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(docs.select("doc_id", path.alias("path"), "text"))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _list(items: list) -> str:
+    if items and isinstance(items[0], list):
+        return "[" + ", ".join(map(_list, items)) + "]"
+    return "[" + ", ".join(map(_quoted, items)) + "]::VARCHAR[]"
+
+
 def _sql() -> str:
-    quoted = [(i, *(x.replace("'", "''") for x in row)) for i, row in enumerate(TEMPLATES)]
-    values = ",\n        ".join(f"({i}, '{name}', '{text}')" for i, name, text in quoted)
+    """All templates and rules. RE2 has no look-around, so sentence ends are marked by chr(1)."""
+    short = [*FIRST, *TEMPLATES, *MORE]
+    every = short + FULL
+    rows = []
+    for i, (name, text) in enumerate(every):
+        groups, lacks, needs, file_lacks = rules_of((name, text), i >= len(short), i < len(FIRST))
+        rows.append(f"({i}, {_quoted(name)}, {i >= len(short)}, {_quoted(text)}, {_list(groups) if groups else '[]'}"
+                    f"::VARCHAR[][], {_list(lacks)}, {_list(needs)}, {_list(file_lacks)})")
+    values = ",\n        ".join(rows)
+    copyright_line = _quoted(COPYRIGHT_LINE.replace("\\u00a9", "\u00a9"))
+    end = _quoted(r"([.!?])[\"')]*[\s\x0b#*/;%!-]+([\"'(]*[A-Z])")
     return rf"""
 WITH files AS (
     SELECT row_number() OVER () AS r, doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path,
            concat_ws('/', source, lang) AS dir, coalesce(text, '') AS text FROM documents),
 templates AS (SELECT * FROM (VALUES
-        {values}) t(id, licence, text)),
-template_words AS (SELECT id, unnest(regexp_extract_all(lower(text), '{WORD}')) AS word FROM templates),
+        {values}) t(id, licence, full_text, text, groups, lacks, file_needs, file_lacks)),
+template_words AS (SELECT id, full_text, unnest(regexp_extract_all(lower(text), '{WORD}')) AS word FROM templates),
 file_words AS (SELECT r, regexp_extract_all(lower(text), '{WORD}') AS words FROM files),
 held AS (SELECT r, unnest(list_distinct(words)) AS word FROM file_words),
 idf AS (
     SELECT v.word, ln((1 + (SELECT count(*) FROM files)) / (1 + count(held.r))) + 0.1 AS idf
     FROM (SELECT DISTINCT word FROM template_words) v LEFT JOIN held ON held.word = v.word GROUP BY v.word),
 raw AS (
-    SELECT id, word, (1 + ln(count(*))) * any_value(idf) AS w FROM template_words JOIN idf USING (word)
-    GROUP BY id, word),
-vectors AS (SELECT id, word, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS t FROM raw),
+    SELECT id, full_text, word, (1 + ln(count(*))) * any_value(idf) AS w FROM template_words JOIN idf USING (word)
+    GROUP BY id, full_text, word),
+vectors AS (SELECT id, full_text, word, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS t FROM raw),
+parts AS (
+    SELECT r, text, string_split(text, chr(10)) AS lines, list_filter(
+        regexp_split_to_array(text, '\n[ \t\r]*\n\s*'), lambda p: contains(p, chr(10))) AS paragraphs FROM files),
+statements AS (SELECT r, unnest(list_concat(lines, paragraphs)) AS unit FROM parts),
+cut AS (SELECT r, string_split(regexp_replace(unit, {end}, '\1' || chr(1) || '\2', 'g'), chr(1)) AS sentences FROM statements),
 units AS (
-    SELECT r, unnest(list_concat(string_split(text, chr(10)),
-        list_filter(regexp_split_to_array(text, '\n[ \t\r]*\n\s*'), lambda p: contains(p, chr(10))))) AS unit
-    FROM files),
-unit_words AS (
-    SELECT r, u, len(words) AS n, unnest(words) AS word FROM (
-        SELECT r, row_number() OVER () AS u, regexp_extract_all(lower(unit), '{WORD}') AS words FROM units)),
+    SELECT r, false AS body, unit FROM statements
+    UNION ALL SELECT r, false, unnest(sentences) FROM cut WHERE len(sentences) > 1
+    UNION ALL SELECT r, true, regexp_replace(unnest(list_append(paragraphs, text)), {copyright_line}, '', 'g') FROM parts),
+numbered AS (
+    SELECT r, body, row_number() OVER () AS u, regexp_extract_all(lower(unit), '{WORD}') AS words FROM units),
+unit_words AS (SELECT u, body, unnest(words) AS word FROM numbered),
 unit_vectors AS (
-    SELECT r, u, n, word, (1 + ln(count(*))) * coalesce(
+    SELECT u, body, word, (1 + ln(count(*))) * coalesce(
         any_value(idf), ln(1 + (SELECT count(*) FROM files)) + 0.1) AS w
-    FROM unit_words LEFT JOIN idf USING (word) GROUP BY r, u, n, word),
+    FROM unit_words LEFT JOIN idf USING (word) GROUP BY u, body, word),
 norms AS (SELECT u, sqrt(sum(w * w)) AS norm FROM unit_vectors GROUP BY u),
+dots AS (
+    SELECT u, id, sum(w * t) AS dot FROM unit_vectors v JOIN vectors t ON t.word = v.word AND t.full_text = v.body
+    GROUP BY u, id),
 cosines AS (
-    SELECT r, u, n, id, sum(w * t) / any_value(norm) AS cosine
-    FROM unit_vectors JOIN vectors USING (word) JOIN norms USING (u) GROUP BY r, u, n, id),
+    SELECT u, id, dot / norm AS cosine FROM dots JOIN norms USING (u) JOIN templates USING (id)
+    WHERE dot / norm >= CASE WHEN full_text THEN {FULL_THRESHOLD} ELSE {THRESHOLD} END),
+allowed AS (
+    SELECT n.r, u, len(n.words) AS n, id, t.licence, t.full_text, cosine
+    FROM cosines JOIN templates t USING (id) JOIN numbered n USING (u) JOIN file_words f ON f.r = n.r
+    WHERE len(list_filter(t.groups, lambda g: NOT list_has_any(g, n.words))) = 0 AND NOT list_has_any(t.lacks, n.words)
+      AND NOT list_has_any(t.file_lacks, f.words) AND list_has_all(f.words, t.file_needs)),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY full_text DESC, round(cosine, 12) DESC, id) AS first FROM allowed),
 best AS (
-    SELECT c.r, c.n, c.cosine, t.licence, row_number() OVER (
-        PARTITION BY c.r ORDER BY round(c.cosine, 9) DESC, t.licence DESC, c.n DESC) AS place
-    FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(cosine, 12) DESC, id) AS first FROM cosines) c
-    JOIN templates t USING (id) WHERE c.first = 1 AND c.cosine >= {THRESHOLD}),
+    SELECT r, n, cosine, licence, row_number() OVER (PARTITION BY r ORDER BY full_text DESC, licence <> 'Proprietary' DESC,
+           round(cosine, 9) DESC, licence DESC, n DESC) AS place FROM firsts WHERE first = 1),
 own AS (
     SELECT f.r, f.dir, f.path, b.licence, b.cosine, b.n >= {LICENCE_FILE_SHARE} * len(w.words) AS whole
     FROM best b JOIN files f USING (r) JOIN file_words w USING (r) WHERE place = 1),

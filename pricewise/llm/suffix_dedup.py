@@ -1,21 +1,23 @@
-"""Repeated 200-byte strings by a blockwise suffix sort over a difference cover.
+"""Repeated 200-byte strings by a difference cover over suffixes, one bucket at a time.
 
 Of any two equal 200-byte strings some shift below the cover's period of 91 puts both on
 cover positions, where the next 110 bytes agree as well. So:
 
-1. Every document's cover-sample suffixes (one position in nine) are ranked by their first
-   110 bytes: equal or unique. Ranks are settled one bucket of sample suffixes at a time.
-2. Only suffixes with a tied cover sample less than a period ahead can have a long tie. They
-   are sorted by their first 200 bytes, again one suffix bucket at a time: a bucket is a
-   range of key values, and holds a bounded number of suffixes whatever the corpus is.
+1. Every document's cover samples (one position in nine) are told apart by their first 110
+   bytes: tied or unique. They are settled one bucket of samples at a time.
+2. Only suffixes with a tied sample less than a period ahead can have a long tie. They are
+   settled by their first 200 bytes, again one bucket at a time.
 3. Tied suffixes mark the bytes they cover; each document is cut in its own block.
 
 Of whole documents that are equal only the first sorts its suffixes, as tied ones: a group of
 copies costs one document, however large it is.
 
-Keys are 64-bit fingerprints of the prefix instead of the bytes, so buckets are ranges of
-fingerprints, not of first letters: order among unequal suffixes is never used, and frequent
-beginnings cannot swell a bucket. Two different strings share a key with probability 2**-64.
+This is not a suffix order: a sample's rank is replaced by whether its fingerprint is tied, and
+a suffix's first 200 bytes by a 64-bit fingerprint. Order among unequal suffixes is not needed
+for the result, and ranks by bytes would shuffle 110 bytes for each sample, twelve for each byte of
+text. Buckets are ranges of fingerprints, so frequent beginnings cannot swell one. They are counted
+for the samples; where most suffixes are candidates, a bucket of the second step holds up to nine
+times as many. Two different strings share a key with probability 2**-64.
 
 Defined cases: null and empty texts have no bytes; a repeated row is another place, so its
 bytes go like any others; null doc_ids pass through; extra columns are not read. One document
