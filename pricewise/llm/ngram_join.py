@@ -332,14 +332,20 @@ def _open(sets: DataFrame, parted: DataFrame) -> DataFrame:
     return parted.join(tokens.join(shared, "token").select("node").distinct(), "node")
 
 
-def second_round(sets: DataFrame, placed: DataFrame, found: DataFrame, late_sets: int) -> DataFrame:
+def _only(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The sets of ``nodes``, chosen from ``rows`` before equal sets are put together."""
+    return rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+
+
+def second_round(rows: DataFrame, placed: DataFrame, found: DataFrame, late_sets: int) -> DataFrame:
     """In clusters of three chunks and more, the sets outside the largest component of ``found``
-    with all sets of other components, as far as they share prefix shingles."""
+    with all sets of other components, as far as they share prefix shingles. ``rows`` are the
+    sets, equal ones any number of times."""
     part = components(found).withColumnRenamed("root", "part")
     # tables of their own: where they are small, Spark sends them to the sets, not the sets to them
     parted = materialize(placed.filter(F.col("chunks") > 2).select("node", "root").join(part, "node", "left")
                          .select("node", "root", F.coalesce("part", "node").alias("part")), "cluster-parts")
-    parted = materialize(_open(sets, parted), "open-parts")
+    parted = materialize(_open(_only(rows, parted), parted), "open-parts")
     sizes = parted.groupBy("root", "part").agg(F.count(F.lit(1)).alias("k"))
     main = materialize(
         sizes.groupBy("root").agg(F.sum("k").alias("total"), F.max(F.struct("k", "part")).alias("m"))
@@ -352,11 +358,13 @@ def second_round(sets: DataFrame, placed: DataFrame, found: DataFrame, late_sets
     mains = F.transform(_up_to(F.col("mains")), lambda i: _span(F.col("chunk"), i))
     spans = F.when(rest, F.concat(mains, rests)).otherwise(rests)
     dealt = materialize(dealt.select("node", "root", "chunk", spans.alias("spans")), "open-chunks")
-    return _dealt(sets, dealt, F.col("spans"))
+    return _dealt(_only(rows, dealt), dealt, F.col("spans"))
 
 
-def links(sets: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS, late_sets: int = LATE_SETS) -> DataFrame:
-    """(a, b): links of at least ``percent``, enough of them to connect what all would."""
+def links(rows: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS, late_sets: int = LATE_SETS) -> DataFrame:
+    """(a, b): links of at least ``percent`` between the sets of ``rows`` (node, n_shingles, shingles,
+    prefix), enough of them to connect what all would."""
+    sets = rows.dropDuplicates(["node"])
     clusters = prefix_clusters(sets)
     # the few clusters of several chunks are a small table of their own, so that a cluster of
     # many sets is no hot key of the join
@@ -368,13 +376,13 @@ def links(sets: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS, late_sets
     found = checkpoint(_linked(first_round(sets, placed), percent))
     if large.filter(F.col("chunks") > 2).isEmpty():
         return found
-    return found.unionByName(_linked(second_round(sets, placed, found, late_sets), percent))
+    return found.unionByName(_linked(second_round(rows, placed, found, late_sets), percent))
 
 
 def _placed(rows: DataFrame, percent: int, chunk_sets: int, late_sets: int) -> DataFrame:
     """(doc_id, text_key, n_shingles, root) of the rows of ``shingle_sets`` that can link."""
     linkable = rows.filter(F.col("node").isNotNull())
-    sets = linkable.select("node", "n_shingles", "shingles", "prefix").dropDuplicates(["node"])
+    sets = linkable.select("node", "n_shingles", "shingles", "prefix")
     found = components(links(sets, percent, chunk_sets, late_sets))
     return linkable.select("doc_id", "text_key", "n_shingles", "node").join(found, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
