@@ -16,6 +16,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a small table that one file of it takes, and files that there are at least.
+ROWS_OF_FILE, LEAST_FILES = 100_000, 8
+
+
+def files_for(rows: int) -> int:
+    """Files of a table of about so many short rows. It grows with the table, so that each
+    task of the last step has a bounded part, and few rows are not spread over a file for
+    each shuffle partition."""
+    return max(LEAST_FILES, -(-rows // ROWS_OF_FILE))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the session names in ``spark.checkpoint.dir``;
     ``session.remove_scratch`` deletes it when nothing reads it any more."""

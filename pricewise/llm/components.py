@@ -8,15 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, files_for
 
 
 # Edges (a, b) have a > b throughout.
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, files: int) -> DataFrame:
     """Every node's larger neighbours go to the smallest of the node and its neighbours."""
     # a table of its own, so that the edges of a node with many larger neighbours can be split
-    low = checkpoint(e.groupBy("a").agg(F.min("b").alias("m"))).select(F.col("a").alias("b"), "m")
+    low = checkpoint(e.groupBy("a").agg(F.min("b").alias("m")).coalesce(files)).select(F.col("a").alias("b"), "m")
     return e.join(low, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
 
 
@@ -38,11 +38,14 @@ def _is_stars(e: DataFrame) -> bool:
     return mixed.count() == 0
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of ``edges`` (a, b): root is its component's smallest node."""
-    e = checkpoint(edges.filter(F.col("a") != F.col("b"))
-                   .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+def components(edges: DataFrame, files: int | None = None) -> DataFrame:
+    """(node, root) of every node of ``edges`` (a, b): root is its component's smallest node.
+    ``files`` are those that the edges are written to at first, if their number is known."""
+    first = edges.filter(F.col("a") != F.col("b")) \
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    e = checkpoint(first.coalesce(files) if files else first)
+    files = files_for(e.count())  # a round never adds edges
     while not _is_stars(e):
-        e = checkpoint(_small_star(_large_star(e)))
+        e = checkpoint(_small_star(_large_star(e, files)).coalesce(files))
     stars = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, materialize, read, text_bytes
+from .common import checkpoint, files_for, materialize, read, text_bytes
 from .components import components
 from .fingerprints import (Size, answer, answers_of, blocks_of, distinct, emit, join_answers,
                            pack_array, send, truncated, unpack_array, unpack_texts)
@@ -279,7 +279,7 @@ def shingle_sets(docs: DataFrame, words: int, percent: int, keyed: bool = False)
     return join_answers(blocks, classes, _settle(percent, words, bits, keyed), _SETS)
 
 
-def prefix_clusters(sets: DataFrame) -> DataFrame:
+def prefix_clusters(sets: DataFrame, files: int) -> DataFrame:
     """(node, root): nodes that share prefix shingles, directly or through others. Every
     shingle ties its nodes to the smallest of them."""
     tokens = sets.select("node", F.explode("prefix").alias("token"))
@@ -287,7 +287,7 @@ def prefix_clusters(sets: DataFrame) -> DataFrame:
         .filter(F.col("hub") != F.col("far")).select("token", "hub")
     edges = tokens.join(hubs, "token").filter(F.col("node") != F.col("hub")) \
         .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    return components(edges)
+    return components(edges, files)
 
 
 def _linked(groups: DataFrame, percent: int) -> DataFrame:
@@ -337,27 +337,27 @@ def _only(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def second_round(rows: DataFrame, placed: DataFrame, found: DataFrame, late_sets: int) -> DataFrame:
+def second_round(rows: DataFrame, placed: DataFrame, found: DataFrame, late_sets: int, files: int) -> DataFrame:
     """In clusters of three chunks and more, the sets outside the largest component of ``found``
     with all sets of other components, as far as they share prefix shingles. ``rows`` are the
-    sets, equal ones any number of times."""
-    part = components(found).withColumnRenamed("root", "part")
+    sets, equal ones any number of times; each table of nodes in between takes ``files``."""
+    part = components(found, files).withColumnRenamed("root", "part")
     # tables of their own: where they are small, Spark sends them to the sets, not the sets to them
     parted = materialize(placed.filter(F.col("chunks") > 2).select("node", "root").join(part, "node", "left")
-                         .select("node", "root", F.coalesce("part", "node").alias("part")), "cluster-parts")
-    parted = materialize(_open(_only(rows, parted), parted), "open-parts")
+                         .select("node", "root", F.coalesce("part", "node").alias("part")).coalesce(files), "cluster-parts")
+    parted = materialize(_open(_only(rows, parted), parted).coalesce(files), "open-parts")
     sizes = parted.groupBy("root", "part").agg(F.count(F.lit(1)).alias("k"))
     main = materialize(
         sizes.groupBy("root").agg(F.sum("k").alias("total"), F.max(F.struct("k", "part")).alias("m"))
         .select("root", F.col("m.part").alias("main"), F.ceil(F.col("m.k") / late_sets).alias("mains"),
-                F.ceil((F.col("total") - F.col("m.k")) / late_sets).alias("rests")), "open-clusters")
+                F.ceil((F.col("total") - F.col("m.k")) / late_sets).alias("rests")).coalesce(files), "open-clusters")
     rest, bucket = F.col("part") != F.col("main"), F.xxhash64("node")
     dealt = parted.join(main, "root").withColumn("chunk", F.when(
         rest, F.col("mains") + F.pmod(bucket, F.col("rests"))).otherwise(F.pmod(bucket, F.col("mains"))).cast("int"))
     rests = F.transform(_up_to(F.col("rests")), lambda i: _span(F.col("chunk"), F.col("mains") + i))
     mains = F.transform(_up_to(F.col("mains")), lambda i: _span(F.col("chunk"), i))
     spans = F.when(rest, F.concat(mains, rests)).otherwise(rests)
-    dealt = materialize(dealt.select("node", "root", "chunk", spans.alias("spans")), "open-chunks")
+    dealt = materialize(dealt.select("node", "root", "chunk", spans.alias("spans")).coalesce(files), "open-chunks")
     return _dealt(_only(rows, dealt), dealt, F.col("spans"))
 
 
@@ -365,27 +365,30 @@ def links(rows: DataFrame, percent: int, chunk_sets: int = CHUNK_SETS, late_sets
     """(a, b): links of at least ``percent`` between the sets of ``rows`` (node, n_shingles, shingles,
     prefix), enough of them to connect what all would."""
     sets = rows.dropDuplicates(["node"])
-    clusters = prefix_clusters(sets)
+    files = files_for(rows.count())
+    clusters = prefix_clusters(sets, files)
     # the few clusters of several chunks are a small table of their own, so that a cluster of
     # many sets is no hot key of the join
     large = materialize(
         clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk_sets)).cast("int").alias("chunks"))
-        .filter(F.col("chunks") > 1), "large-clusters")
+        .filter(F.col("chunks") > 1).coalesce(files), "large-clusters")
     placed = clusters.join(large, "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))) \
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     found = checkpoint(_linked(first_round(sets, placed), percent))
     if large.filter(F.col("chunks") > 2).isEmpty():
         return found
-    return found.unionByName(_linked(second_round(rows, placed, found, late_sets), percent))
+    return found.unionByName(_linked(second_round(rows, placed, found, late_sets, files), percent))
 
 
-def _placed(rows: DataFrame, percent: int, chunk_sets: int, late_sets: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, root) of the rows of ``shingle_sets`` that can link."""
+def _placed(rows: DataFrame, percent: int, chunk_sets: int, late_sets: int) -> tuple[DataFrame, int]:
+    """(doc_id, text_key, n_shingles, root) of the rows of ``shingle_sets`` that can link, and
+    the files that a table of them takes."""
     linkable = rows.filter(F.col("node").isNotNull())
     sets = linkable.select("node", "n_shingles", "shingles", "prefix")
-    found = components(links(sets, percent, chunk_sets, late_sets))
+    files = files_for(sets.count())
+    found = components(links(sets, percent, chunk_sets, late_sets), files)
     return linkable.select("doc_id", "text_key", "n_shingles", "node").join(found, "node", "left") \
-        .withColumn("root", F.coalesce("root", "node"))
+        .withColumn("root", F.coalesce("root", "node")), files
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
@@ -393,9 +396,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     """(doc_id, n_shingles, component_id) of every row: components of links with
     100 * intersection >= percent * union."""
     rows = materialize(shingle_sets(docs, words, percent), "shingle-sets")
-    placed = _placed(rows, percent, chunk_sets, late_sets)
+    placed, files = _placed(rows, percent, chunk_sets, late_sets)
     # a table of its own, so that a component of many rows can be split in the join
-    smallest = checkpoint(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")))
+    smallest = checkpoint(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")).coalesce(files))
     linked = placed.join(smallest, "root").select("doc_id", "n_shingles", "component_id")
     alone = rows.filter(F.col("node").isNull()) \
         .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -408,13 +411,14 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     Rows that link with nothing all stay, rows without words and equal ones too, and so do rows
     without doc_id, which can't be told apart; the latter don't stand for others."""
     rows = materialize(shingle_sets(docs.select("doc_id", "text"), words, percent, keyed=True), "shingle-sets")
-    placed = _placed(rows, percent, CHUNK_SETS, LATE_SETS).filter(F.col("doc_id").isNotNull())
+    placed, files = _placed(rows, percent, CHUNK_SETS, LATE_SETS)
+    placed = placed.filter(F.col("doc_id").isNotNull())
     row = F.struct("doc_id", "text_key")
     stays = checkpoint(placed.groupBy("root").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n"))
-                       .filter(F.col("n") > 1).select("root", "first"))
+                       .filter(F.col("n") > 1).select("root", "first").coalesce(files))
     ruled = checkpoint(placed.join(stays, "root").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
                        .agg(F.max(row == F.col("first")).alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-                       .filter(~F.col("_kept") | (F.col("_rows") > 1)))
+                       .filter(~F.col("_kept") | (F.col("_rows") > 1)).coalesce(files))
     keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.unhex(F.md5(F.col("text").cast("string")))})
     others = keyed.join(ruled, ["_id", "_key"], "left_anti")
     repeated = ruled.filter("_kept").select("_id", "_key")
