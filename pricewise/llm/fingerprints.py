@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import power_of_two, shuffle_partitions
-from .textblock import Texts, batch_slices
+from .textblock import Texts, batch_slices, release
 
 #: There is a message for each block and bucket: on executors with more memory, raise both
 #: sizes with the table (a block takes some 60 times its bytes, a bucket some 50 bytes for
@@ -190,6 +190,7 @@ def emit(blocks: DataFrame, of_block: Callable[[int, bytes], Iterable[tuple[int,
                 for i, p in zip(b.column("block_id"), b.column("payload")):
                     if p.is_valid:
                         yield from of_block(i.as_py(), p.as_py())
+                        release(BLOCK_BYTES)
         yield from message_batches(rows())
     return blocks.mapInArrow(run, MESSAGE_SCHEMA)
 
@@ -239,7 +240,9 @@ def join_answers(blocks: DataFrame, answers: DataFrame,
                  finish: Callable[[int, pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """``finish(block_id, rows of the block, answers to its messages)`` for each block."""
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return finish(key[0].as_py(), left, right)
+        out = finish(key[0].as_py(), left, right)
+        release(BLOCK_BYTES)
+        return out
     return blocks.groupBy("block_id").cogroup(answers.groupBy("block_id")).applyInArrow(run, schema)
 
 

@@ -7,6 +7,7 @@ operations. Work goes in slices of bounded size whatever Arrow's batch size is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -19,6 +20,9 @@ CHUNK = 1 << 18
 NEWLINE = 10
 #: Word separators: space and the five control characters 0x09-0x0D.
 SEPARATOR = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: A Python worker gives free memory back after so many bytes of texts.
+RELEASE_BYTES = 16 << 20
+_seen = [0]
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 5
 _TABLE = np.random.default_rng(20240607).integers(1, 2**64, 256, dtype=np.uint64)
@@ -28,6 +32,18 @@ _ASCII_LOWER[65:91] += 32
 _powers: dict[str, np.ndarray] = {}
 
 
+def release(n: int) -> None:
+    """Say that ``n`` bytes of texts are done with. Workers are used again by later stages, so
+    what the allocators keep would add up over an executor."""
+    _seen[0] += n
+    if _seen[0] >= RELEASE_BYTES:
+        _seen[0] = 0
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+        if trim is not None:
+            trim(0)
+
+
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``B**i`` and ``B**-i`` modulo 2**64 for i below n or more."""
     if "up" not in _powers or len(_powers["up"]) < n:
@@ -170,6 +186,7 @@ def batch_slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES, rows: int = 1
         data = buf[off[row]:off[end]]
         rel = off[row:end + 1] - off[row]
         yield row, end, Texts(ids[row:end], null[row:end], data, rel[:-1], rel[1:])
+        release(int(off[end] - off[row]))
         row = end
 
 
