@@ -46,6 +46,21 @@ def test_cached_training_rows_hold_key_inputs_and_label(spark, sf_small, monkeyp
     assert cached == [[*li.KEY, "l_returnflag", "l_linestatus", "price"]]
 
 
+def test_rows_for_encoders_are_not_spread(spark, sf_small, monkeypatch):
+    """Encoders need no order: what is cached for them has their inputs only and no shuffle."""
+    cached = []
+    real = Q.persisted
+
+    def spy(df):
+        cached.append((df.columns, _plan(df)))
+        return real(df)
+    monkeypatch.setattr(Q, "persisted", spy)
+    Q.q_assemble_features(spark, sf_small)
+    (columns, plan), = cached
+    assert columns == list(li.FULL_SPEC.input_columns)
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
 def test_scoring_and_metrics_plan(spark, sf_small):
     train, test = Q._split(spark, sf_small, li.CELL_SPEC)
     model = tu.plain_fit(train, li.CELL_SPEC, make_learner("dt", li.LABEL, maxDepth=5))
