@@ -146,12 +146,12 @@ def q_als_step(spark, sf_dir):
 
 
 def q_als_predict(spark, sf_dir):
-    """ALS on a part of the ratings, its error on the held-out ones against the mean's."""
-    ratings = _ratings(spark, sf_dir)
-    train, test = sp.hash_split(ratings, ("user", "item"), 0.8)
-    with persisted(train) as t:
-        model = rec.fit_als(t)
-        return rec.held_out_error(model, t, test)
+    """ALS on a part of the ratings, its error on the held-out ones against the mean's. Joins and
+    means make the ratings once: the fit, the mean and the held-out part read them from the cache."""
+    with persisted(_ratings(spark, sf_dir)) as ratings:
+        train, test = sp.hash_split(ratings, ("user", "item"), 0.8)
+        error = rec.held_out_error(rec.fit_als(train), train, test)
+        return spark.createDataFrame(error.collect(), error.schema)  # one row
 
 
 # ------------------------------------------------------------------ stored models

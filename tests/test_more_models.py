@@ -218,6 +218,21 @@ def test_als_query_beats_the_mean(spark, sf_small):
     assert r.n_scored > 0 and r.rmse < r.rmse_of_mean
 
 
+def test_als_query_makes_its_ratings_once(spark, sf_small, monkeypatch):
+    """The held-out part was joined from the tables a second time."""
+    plans, real = [], M.rec.held_out_error
+
+    def spy(model, train, test):
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in (train, test))
+        return real(model, train, test)
+    monkeypatch.setattr(M.rec, "held_out_error", spy)
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    out = M.q_als_predict(spark, sf_small)
+    assert len(plans) == 2 and all("InMemoryTableScan" in p for p in plans)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= before
+
+
 # ---------------------------------------------------------------- stored models
 
 def test_stored_model_scores_as_the_fitted_one(spark, rows):
