@@ -132,3 +132,15 @@ def test_reference_pipelines_pass_no_row_objects_through_levels(spark, sf_small,
         grown.clear()
         assert Q.QUERIES[name](spark, sf_small).count() == 1
         assert len(grown) == trees, name
+
+
+def test_rows_are_packed_once_for_all_bins(rows, monkeypatch):
+    est = make_learner("dt", "y", maxDepth=5)
+    packed, real = [], tr._blocks
+    monkeypatch.setattr(tr, "_blocks", lambda *a: (packed.append(1), real(*a))[1])
+    both = tr.fit_trees(rows, [(est, {est.maxBins: b}) for b in (40, 12)])
+    assert len(packed) == 1
+    for model, b in zip(both, (40, 12)):
+        theirs = fit_learner(est, rows, {est.maxBins: b})
+        assert model.getMaxBins() == b and nodes(model) == nodes(theirs)
+        assert np.allclose(predictions(model, rows), predictions(theirs, rows), rtol=1e-9, atol=1e-9)
