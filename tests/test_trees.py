@@ -144,3 +144,72 @@ def test_rows_are_packed_once_for_all_bins(rows, monkeypatch):
         theirs = fit_learner(est, rows, {est.maxBins: b})
         assert model.getMaxBins() == b and nodes(model) == nodes(theirs)
         assert np.allclose(predictions(model, rows), predictions(theirs, rows), rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("kind, params", [("dt", {}), ("rf", {"numTrees": 5}), ("gbt", {"maxIter": 3})])
+@pytest.mark.parametrize("entries", [0, 1 << 20])
+def test_scores_by_blocks_are_those_of_the_models(rows, monkeypatch, kind, params, entries):
+    """Each candidate was stored, loaded by MLlib and walked node by node for each row."""
+    monkeypatch.setattr(tr, "STEP_ENTRIES", entries)
+    est = make_learner(kind, "y", **params)
+    grown = tr.grow_trees(rows, [(est, {est.maxDepth: d}) for d in (0, 3, 7)])
+    scored = tr.score_trees(rows, "y", grown, ["a", "b", "c"])
+    assert scored.columns == ["y", "a", "b", "c"]
+    got = np.array([tuple(r) for r in scored.collect()])
+    for column, g in enumerate(grown, 1):
+        want = np.array([tuple(r) for r in g.to_model(rows).transform(rows).select("y", "prediction").collect()])
+        assert np.allclose(got[:, [0, column]], want, rtol=1e-9, atol=1e-9)
+
+
+def test_a_search_stores_only_the_model_that_it_returns(spark, sf_small, monkeypatch):
+    stored, real = [], tr.to_model
+    monkeypatch.setattr(tr, "to_model", lambda *a: (stored.append(1), real(*a))[1])
+    assert Q.QUERIES["ref_dt_holdout"](spark, sf_small).count() == 1
+    assert len(stored) == 1
+
+
+def test_rows_of_small_nodes_meet_in_rounds(rows, monkeypatch):
+    """All rows of all trees were shuffled, and kept on disk, at once."""
+    est = make_learner("rf", "y", maxDepth=8, numTrees=5)
+    by_level = tr.fit_trees(rows, [(est, {})])[0]
+    n = rows.count()
+    rounds, real = [], tr._finish
+    monkeypatch.setattr(tr, "_finish", lambda *a: (rounds.append(a[-1]), real(*a))[1])
+    monkeypatch.setattr(tr, "LEVEL_BYTES", 0)
+    monkeypatch.setattr(tr, "ROUND_ROWS", int(2.5 * n))
+    finished = tr.fit_trees(rows, [(est, {})])[0]
+    assert len(rounds) >= 2 and sorted(sum(rounds, [])) == list(range(5))
+    assert nodes(by_level) == nodes(finished)
+    assert np.allclose(predictions(by_level, rows), predictions(finished, rows), rtol=1e-9, atol=1e-9)
+
+
+def test_bins_travel_in_words():
+    x = np.random.default_rng(1).integers(0, [2, 64, 256, 3, 100], (50, 5)).astype(np.uint8)
+    bins = tr.Bins([None, *[np.arange(k - 1.0) for k in (64, 256, 3, 100)]], np.array([2, 0, 0, 0, 0]))
+    fields = tr._fields(bins)
+    assert tr._to_words(x, fields).shape == (50, 3) and (tr._from_words(tr._to_words(x, fields), fields) == x).all()
+    assert tr._fields(tr.Bins([np.arange(255.0)] * 9, np.zeros(9, int))) is None
+
+
+def test_rows_make_room_for_their_blocks(rows, monkeypatch):
+    """Encoded rows, blocks and residuals of boosted trees were all kept to the end."""
+    est, held, real = make_learner("gbt", "y", maxIter=3), [], tr.grow
+    copy = rows.select("*").persist()
+    copy.count()
+    sc = rows.sparkSession.sparkContext._jsc.sc()
+    before = sc.getPersistentRDDs().size()
+    monkeypatch.setattr(tr, "grow", lambda *a: (held.append(sc.getPersistentRDDs().size() - before), real(*a))[1])
+    grown = tr.grow_trees(copy, [(est, {})], copy.unpersist)
+    assert max(held) <= 0 and sc.getPersistentRDDs().size() < before
+    assert np.allclose(predictions(grown[0].to_model(rows), rows), predictions(fit_learner(est, rows), rows), rtol=1e-9, atol=1e-9)
+
+
+def test_boosted_trees_of_two_depths_share_the_first(rows, monkeypatch):
+    est = make_learner("gbt", "y", maxIter=3, stepSize=0.3)
+    grown, real = [], tr.grow
+    monkeypatch.setattr(tr, "grow", lambda *a: (grown.append(1), real(*a))[1])
+    both = tr.fit_trees(rows, [(est, {est.maxDepth: d}) for d in (2, 5)])
+    assert len(grown) == 5
+    for model, depth in zip(both, (2, 5)):
+        alone = tr.fit_trees(rows, [(est, {est.maxDepth: depth})])[0]
+        assert np.allclose(predictions(model, rows), predictions(alone, rows), rtol=1e-9, atol=1e-9)
