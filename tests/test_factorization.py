@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import FMRegressor
 
+from pricewise.operators import factorization as fz
 from pricewise.operators import tuning as tu
 from pricewise.operators.factorization import by_blocks, fit_machine
 from pricewise.operators.features import FEATURES, FeatureSpec
@@ -63,3 +64,29 @@ def test_missing_numbers_are_errors(points):
     bad = points.selectExpr(FEATURES, "double('NaN') as y")
     with pytest.raises(Exception, match="NaN|must be numbers"):
         fit_machine(make_learner("fm", "y", maxIter=2), bad)
+
+
+def test_steps_do_not_pass_over_the_rows(points, monkeypatch):
+    """Each step was a pass over all rows: a hundred for each map of each fold."""
+    est = make_learner("fm", "y", maxIter=40)
+    monkeypatch.setattr(fz, "_summer", lambda *a: pytest.fail("a step over the rows"))
+    own = fit_machine(est, points)
+    monkeypatch.undo()
+    monkeypatch.setattr(fz, "MAX_TERMS", 0)
+    by_rows = fit_machine(est, points)
+    assert own.factors.toArray() == pytest.approx(by_rows.factors.toArray(), rel=1e-7, abs=1e-10)
+    assert own.linear.toArray() == pytest.approx(by_rows.linear.toArray(), rel=1e-7, abs=1e-10)
+    assert own.intercept == pytest.approx(by_rows.intercept, rel=1e-7)
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_gradients_of_sums_are_those_of_the_rows(weighted):
+    rng = np.random.default_rng(5)
+    rows = np.column_stack([rng.integers(1, 4, 200) if weighted else np.ones(200), rng.normal(size=(200, 6))])
+    n, y, x = rows[:, 0], rows[:, 1], rows[:, 2:]
+    v, w, b = rng.normal(size=(5, 3)), rng.normal(size=5), 0.7
+    i, j = np.triu_indices(5, 1)
+    terms = np.column_stack([np.ones(200), x, x[:, i] * x[:, j], y])
+    of_v, of_w, of_b = fz.block_sums(rows, v, w, b)
+    got = fz.gradient_of_sums(terms.T @ (n[:, None] * terms))(v, w, b)
+    assert got == pytest.approx(np.concatenate([of_v.ravel(), of_w, [of_b]]) / n.sum(), rel=1e-10, abs=1e-12)
