@@ -100,3 +100,24 @@ def test_entry_without_a_package_of_the_corpus_part():
             "assert not os.path.isdir('pricewise/llm') or any('zstandard' in str(x.message) for x in w)\n")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_comparison_lets_every_learner_work(spark, monkeypatch):
+    """Half of the forest's maps could not split and the machine took two steps from factors of zero."""
+    groups = Q._search_groups(Q.COMPARE_PARAMS, Q.COMPARE_GRIDS)
+    ests = {k: [est.copy(pm) for pm in maps] for k, (est, maps) in groups.items()}
+    assert set(ests) == {"dt", "rf", "gbt", "fm"}
+    assert all(e.getMinInfoGain() == 0.0 for k in ("dt", "rf", "gbt") for e in ests[k])
+    assert {e.getMaxIter() for e in ests["fm"]} == {100} and all(e.getInitStd() > 1e-3 for e in ests["fm"])
+    assert max(e.getMaxIter() for e in ests["gbt"]) == 20 and max(e.getMaxDepth() for e in ests["dt"] + ests["rf"]) == 10
+    used, real = [], Q._search_groups
+
+    def stop(*a):
+        used.append(real(*a))
+        raise InterruptedError
+    monkeypatch.setattr(Q, "_search_groups", stop)
+    monkeypatch.setattr(Q, "_split", lambda *a: (None, None))
+    with pytest.raises(InterruptedError):
+        Q.q_model_compare(None, "")
+    assert {k: [str(sorted((p.name, v) for p, v in pm.items())) for pm in maps] for k, (_, maps) in used[0].items()} == \
+        {k: [str(sorted((p.name, v) for p, v in pm.items())) for pm in maps] for k, (_, maps) in groups.items()}
