@@ -213,3 +213,21 @@ def test_boosted_trees_of_two_depths_share_the_first(rows, monkeypatch):
     for model, depth in zip(both, (2, 5)):
         alone = tr.fit_trees(rows, [(est, {est.maxDepth: depth})])[0]
         assert np.allclose(predictions(model, rows), predictions(alone, rows), rtol=1e-9, atol=1e-9)
+
+
+def test_encoded_rows_of_trees_are_not_cached(spark, monkeypatch):
+    """Vectors of all rows were cached beside the blocks, which took most of the executors' memory."""
+    df = spark.range(500).selectExpr("id", "cast(hash(id) % 97 as double) x", "cast(hash(id, 1) % 97 as double) z",
+                                     "cast(hash(id) % 97 as double) * 2 + id % 3 y")
+    spec, held, real = FeatureSpec(label="y", numeric=("x", "z")), [], tr.grow
+    sc = spark.sparkContext._jsc.sc()
+    before = sc.getPersistentRDDs().size()
+    monkeypatch.setattr(tr, "grow", lambda *a: (held.append(sc.getPersistentRDDs().size() - before), real(*a))[1])
+    est = make_learner("gbt", "y", maxIter=1)
+    tu.plain_fit(df, spec, est)
+    assert held == [1]
+    linear = make_learner("linreg", "y")
+    cached = tu._Encoded(df, spec, None, False, [(est, {}), (linear, {})])
+    assert cached.rows.is_cached
+    cached.release()
+    assert not tu._Encoded(df, spec, None, False, [(est, {})]).rows.is_cached
