@@ -231,3 +231,14 @@ def test_encoded_rows_of_trees_are_not_cached(spark, monkeypatch):
     assert cached.rows.is_cached
     cached.release()
     assert not tu._Encoded(df, spec, None, False, [(est, {})]).rows.is_cached
+
+
+def test_split_candidates_of_rows_drawn_before_encoding(spark, monkeypatch):
+    """All rows were encoded for a sample of them."""
+    df = spark.range(30_000, numPartitions=3).selectExpr("id", "cast(hash(id) % 9973 as double) x", "concat('k', id % 3) g",
+                                                         "cast(hash(id) % 97 as double) y")
+    spec, est = FeatureSpec(label="y", categorical=("g",), numeric=("x",)), make_learner("dt", "y")
+    enc = tu._Encoded(df, spec, 32, False, [(est, {})])
+    first, encoded = (tr.find_bins(enc.rows, est, 30_000, d) for d in (enc.drawn, None))
+    assert len(first.thresholds[1]) > 20 and (first.thresholds[1] == encoded.thresholds[1]).all()
+    assert (first.arity == encoded.arity).all()
